@@ -1,7 +1,7 @@
 """Pair counts of two columns and their share of one column's count.
 
 The log is reduced once to its distinct combinations of the columns involved, with their number. All
-counts are derived from that table, and one join brings them back to the log.
+counts are derived from that table, and one join per block brings them back to the log.
 """
 
 from __future__ import annotations
@@ -12,11 +12,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywind.operators.aggregates import grouped
-from tallywind.operators.joins import BROADCAST_BYTES, attach
+from tallywind.operators.joins import BROADCAST_BYTES, attach, attach_all
 from tallywind.schema import ITEM_LEVELS, SHOP_LEVELS
-from tallywind.storage import Stored, store
+from tallywind.storage import Stored, side_by_side, store
 
 GROUP_LIMIT = 1_000_000
 
@@ -69,40 +70,71 @@ def feature_names(crosses: Sequence[Cross]) -> list[str]:
 
 def cross_counts(
     df: DataFrame,
-    crosses: Sequence[Cross],
+    *blocks: Sequence[Cross],
     id_col: str = "instance_id",
     group_limit: int = GROUP_LIMIT,
     **join_options,
 ) -> DataFrame:
-    """Add ``<col>_<prefix>_cnt`` and ``<col>_<prefix>_prob`` for every pair of ``crosses``."""
+    """Add ``<col>_<prefix>_cnt`` and ``<col>_<prefix>_prob`` for every pair of every block.
+
+    The crosses of one block share a table of combinations; group those that share their columns.
+    """
+
+    def lookup(block: Sequence[Cross]):
+        return _cross_table(df, block, id_col, group_limit, join_options)
+
+    return attach_all(df, side_by_side(lookup, blocks), weight="_n", null_safe=True, **join_options)
+
+
+def _cross_table(df, crosses, id_col, group_limit, join_options) -> tuple[DataFrame | Stored, list[str]]:
+    """The features of every combination of a block's columns, and those columns."""
     cols = list(dict.fromkeys(c for x in crosses for c in (x.anchor, x.key, *x.cols)))
     combos = store(df.groupBy(*cols).agg(F.count(id_col).alias("_n")))
-
     sets: dict[str, list[str | None]] = {}
     for x in crosses:
         sets.setdefault(x.anchor, []).append(None)
         sets.setdefault(x.key, []).extend(x.cols)
-    counted = combos.df
-    for key, partners in sets.items():
-        counted = _count_within(counted, combos, key, list(dict.fromkeys(partners)), group_limit, join_options)
-
+    sets = {key: list(dict.fromkeys(partners)) for key, partners in sets.items()}
+    if combos.rows <= group_limit:
+        counted = _count_together(combos.df, cols, sets)
+    else:
+        counted = combos.df
+        for key, partners in sets.items():
+            counted = _count_within(counted, combos, key, partners, group_limit, join_options)
     features = []
     for x in crosses:
-        total = F.col(_total(x.anchor, None)).cast("double")
         for c in x.cols:
-            pairs = F.col(_total(x.key, c))
-            features.append(pairs.alias(f"{c}_{x.prefix}_cnt"))
-            features.append(F.try_divide(pairs.cast("double"), total).alias(f"{c}_{x.prefix}_prob"))
-    table = Stored(counted.select(*cols, "_n", *features), combos.rows)
+            pairs, total = _total(x.key, c), _total(x.anchor, None)
+            features.append(f"`{pairs}` as `{c}_{x.prefix}_cnt`")
+            features.append(f"try_divide(double(`{pairs}`), double(`{total}`)) as `{c}_{x.prefix}_prob`")
+    table = Stored(counted.selectExpr(*[f"`{c}`" for c in cols], "_n", *features), combos.rows)
     # One row per stored combination, so the size is known; it is written only if it cannot be broadcast.
-    small = table.bytes <= join_options.get("broadcast_bytes", BROADCAST_BYTES)
-    return attach(df, table if small else table.df, cols, weight="_n", null_safe=True, **join_options)
+    return (table if table.bytes <= join_options.get("broadcast_bytes", BROADCAST_BYTES) else table.df), cols
 
 
 def _total(key: str, partner: str | None) -> str:
     return f"_{key}__{partner or ''}"
 
 
+def _count_together(combos: DataFrame, cols: Sequence[str], sets: dict[str, list[str | None]]) -> DataFrame:
+    """All counts by one window over the combinations laid out per (key, partner), then put back side by side.
+
+    For a bounded number of combinations: two shuffles whatever the number of pairs.
+    """
+    pairs = [(key, partner) for key, partners in sets.items() for partner in partners]
+    kinds = {combos.schema[c].dataType for pair in pairs for c in pair if c}
+    kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
+    entries = []
+    for i, (key, partner) in enumerate(pairs):
+        known = " and ".join(f"`{c}` is not null" for c in (key, partner) if c)
+        second = f"cast(`{partner}` as {kind})" if partner else f"cast(null as {kind})"
+        entries.append(f"named_struct('s', {i}, 'a', cast(`{key}` as {kind}), 'b', {second}, 'k', {known})")
+    laid_out = combos.selectExpr(*[f"`{c}`" for c in cols], "_n", f"inline(array({', '.join(entries)}))")
+    counted = laid_out.withColumn("_c", F.sum("_n").over(Window.partitionBy("s", "a", "b")))
+    picked = [F.expr(f"max(case when s = {i} and k then _c end) as `{_total(*pair)}`") for i, pair in enumerate(pairs)]
+    return counted.groupBy(*cols, "_n").agg(*picked)
+
+
 def _count_within(df, combos: Stored, key: str, partners, group_limit: int, join_options) -> DataFrame:
     """Row counts per ``key`` and per (``key``, partner).
 
@@ -110,8 +142,6 @@ def _count_within(df, combos: Stored, key: str, partners, group_limit: int, join
     larger ones, at most ``rows / group_limit`` keys, are aggregated and joined instead. A null key has no
     counts and is not shuffled.
     """
-    if combos.rows <= group_limit:
-        return _by_window(df, key, partners)
     sizes = combos.df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
     large = store(sizes.filter(F.col("_m") > group_limit).select(F.col(key).alias("_large")))
     unknown = df.filter(F.col(key).isNull()).withColumns(

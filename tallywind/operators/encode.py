@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywind.operators.joins import attach
+from tallywind.operators.joins import attach_all
 from tallywind.operators.ordering import row_index
 from tallywind.storage import Stored, store
 
@@ -44,23 +44,15 @@ def label_codes(df: DataFrame, cols: Sequence[str]) -> dict[str, Stored]:
 
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_code", **options) -> DataFrame:
     """Add the dense code of every column as ``<col><suffix>``; with an empty suffix the column is replaced."""
-    out = df
-    for c, table in label_codes(df, cols).items():
-        out = attach(out, table, [c], weight="_n", **options)
-        code = f"{c}_code"
-        if suffix == "":
-            out = out.withColumn(c, F.col(code)).drop(code)
-        elif suffix != "_code":
-            out = out.withColumnRenamed(code, c + suffix)
-    return out
+    out = attach_all(df, [(table, [c]) for c, table in label_codes(df, cols).items()], weight="_n", **options)
+    kept = [c for c in df.columns if suffix or c not in cols]
+    return out.select(*kept, *[F.col(f"{c}_code").alias(c + suffix) for c in cols])
 
 def to_category(codes: dict[str, Stored], df: DataFrame, suffix: str = "_cat", **options) -> DataFrame:
     """Category codes as fitted on the training rows by ``label_codes``; unseen values share the next code."""
-    out = df
-    for c, table in codes.items():
-        coded = attach(out, table, [c], weight="_n", **options)
-        out = coded.withColumn(c + suffix, F.coalesce(F.col(f"{c}_code"), F.lit(table.rows))).drop(f"{c}_code")
-    return out
+    out = attach_all(df, [(table, [c]) for c, table in codes.items()], weight="_n", **options)
+    known = [F.coalesce(F.col(f"{c}_code"), F.lit(table.rows)).alias(c + suffix) for c, table in codes.items()]
+    return out.select(*df.columns, *known)
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:

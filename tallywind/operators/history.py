@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywind.functions.bins import float_ratio
 from tallywind.operators.aggregates import grouped
-from tallywind.operators.joins import attach
+from tallywind.operators.joins import attach, attach_all
 from tallywind.schema import SHOP_MEASURES
 
 DAYS = (1, 2, 3)
@@ -118,14 +118,12 @@ def daily_before_counts(
 
 def before_counts(df: DataFrame, first_day: int, kinds: Sequence[str] = ("cnt1", "cntx"), day: str = "day") -> DataFrame:
     """Previous-day and cumulative counts of the row's user, item and shop."""
-    out = df
+    lookups = []
     for name in ("user", "item", "shop"):
         key = f"{name}_id"
-        table = daily_before_counts(df, key, first_day, name, day).select(
-            key, day, "_n", *[f"{name}_{kind}" for kind in kinds]
-        )
-        out = attach(out, table, [key, day], weight="_n")
-    return out
+        table = daily_before_counts(df, key, first_day, name, day)
+        lookups.append((table.select(key, day, "_n", *[f"{name}_{kind}" for kind in kinds]), [key, day]))
+    return attach_all(df, lookups, weight="_n")
 
 
 def history_hour_std(

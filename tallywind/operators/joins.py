@@ -1,7 +1,7 @@
 """Joins of small-per-key tables back onto the log.
 
-``attach`` is the one join that touches the whole log. It looks at the exact size of the table: up to
-a byte limit the table is broadcast, beyond it the log is shuffled by key with the most frequent keys
+``attach`` is the join that meets the whole log. It looks at the exact size of the table: up to a byte
+limit the table is broadcast, beyond it the log is shuffled by key with the most frequent keys
 taken out, so that no task receives more than its share however skewed the keys are.
 """
 
@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywind.storage import Stored, store
+from tallywind.storage import Stored, store_all
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 1024
@@ -35,12 +35,46 @@ def attach(
     ``weight`` names a column of ``table`` holding how many rows of ``df`` carry the key; it is used to
     find the hot keys and is not returned. Null keys match nothing unless ``null_safe``.
     """
-    stored = table if isinstance(table, Stored) else store(table)
-    values = [c for c in stored.df.columns if c not in keys and c != weight]
-    if stored.bytes <= broadcast_bytes:
-        side = stored.df.select(*keys, *values)
-        return _match(df, F.broadcast(_keyed(side, keys)), keys, null_safe).select(*df.columns, *values)
-    return _attach_split(df, stored.df, keys, values, weight, null_safe, spread_by, hot_keys)
+    options = {"null_safe": null_safe, "spread_by": spread_by, "broadcast_bytes": broadcast_bytes, "hot_keys": hot_keys}
+    return attach_all(df, [(table, keys)], weight, **options)
+
+
+def attach_all(
+    df: DataFrame,
+    lookups: Sequence[tuple[DataFrame | Stored, Sequence[str]]],
+    weight: str | None = None,
+    null_safe: bool = False,
+    spread_by: Sequence[str] = ("instance_id",),
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_keys: int = HOT_KEYS,
+) -> DataFrame:
+    """``attach`` for several tables: those small enough are joined in one pass over ``df``.
+
+    ``broadcast_bytes`` bounds the broadcast tables together, smallest first.
+    """
+    stored = store_all(*[table for table, _ in lookups])
+    small, large, room = [], [], broadcast_bytes
+    for table, keys in sorted(zip(stored, (keys for _, keys in lookups), strict=True), key=lambda lookup: lookup[0].bytes):
+        room -= table.bytes
+        (small if room >= 0 else large).append((table, list(keys)))
+
+    out, added = df, []
+    for i, (table, keys) in enumerate(small):
+        values = _values(table, keys, weight)
+        side = _keyed(table.df.select(*keys, *values), keys, f"_k{i}")
+        out = out.join(F.broadcast(side), _condition(keys, null_safe, f"_k{i}"), "left")
+        added += values
+    if small:
+        out = out.select(*df.columns, *added)
+    for table, keys in large:
+        values = _values(table, keys, weight)
+        frequency = weight if weight in table.df.columns else None
+        out = _attach_split(out, table.df, keys, values, frequency, null_safe, spread_by, hot_keys)
+    return out
+
+
+def _values(table: Stored, keys: Sequence[str], weight: str | None) -> list[str]:
+    return [c for c in table.df.columns if c not in keys and c != weight]
 
 
 def _attach_split(df, table, keys, values, weight, null_safe, spread_by, hot_keys) -> DataFrame:
@@ -68,23 +102,19 @@ def _attach_split(df, table, keys, values, weight, null_safe, spread_by, hot_key
     left = marked.withColumn("_bucket", bucket)
     right = packed.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(SPREAD)))
     right = _keyed(right, [*keys, "_bucket"])
-    condition = _condition(keys, null_safe) & (F.col("_bucket") == F.col("_k_bucket"))
+    condition = _condition(keys, null_safe) & (F.col("_bucket") == F.col("_k__bucket"))
     joined = left.join(right, condition, "left")
     picked = [F.coalesce(F.col("_hot")[v], F.col("_cold")[v]).alias(v) for v in values]
     return joined.select(*df.columns, *picked)
 
 
-def _keyed(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return table.withColumnsRenamed({k: _key(k) for k in keys})
-
-
-def _key(name: str) -> str:
-    return "_k" + name if name.startswith("_") else "_k_" + name
+def _keyed(table: DataFrame, keys: Sequence[str], prefix: str = "_k") -> DataFrame:
+    return table.withColumnsRenamed({k: f"{prefix}_{k}" for k in keys})
 
 
-def _condition(keys: Sequence[str], null_safe: bool) -> Column:
-    same = [F.col(k).eqNullSafe(F.col(_key(k))) if null_safe else F.col(k) == F.col(_key(k)) for k in keys]
-    return reduce(lambda a, b: a & b, same)
+def _condition(keys: Sequence[str], null_safe: bool, prefix: str = "_k") -> Column:
+    pairs = [(F.col(k), F.col(f"{prefix}_{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
 def _match(left, keyed_right, keys, null_safe, how="left") -> DataFrame:

@@ -58,6 +58,12 @@ def vectorize(df: DataFrame, features: Sequence[str], out: str = "features") ->
     return VectorAssembler(inputCols=list(known), outputCol=out, handleInvalid="keep").transform(wide).drop(*known)
 
 
+def training_rows(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
+    """Vector and label of the labelled rows, written once: fitting passes over them many times."""
+    rows = vectorize(df.filter(F.col(label).isNotNull()), features)
+    return store(rows.select("features", F.col(label).cast("double"))).df
+
+
 def gbt(params: GBTParams, label: str = LABEL, **extra) -> GBTClassifier:
     return GBTClassifier(
         labelCol=label,
@@ -75,8 +81,7 @@ def gbt(params: GBTParams, label: str = LABEL, **extra) -> GBTClassifier:
 
 
 def _fit(estimator: Estimator, train: DataFrame, features: Sequence[str], label: str = LABEL) -> Scorer:
-    rows = vectorize(train.filter(F.col(label).isNotNull()), features).select("features", F.col(label).cast("double"))
-    return Scorer(estimator.fit(rows), tuple(features))
+    return Scorer(estimator.fit(training_rows(train, features, label)), tuple(features))
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str = LABEL, params: GBTParams = GBTParams(), **extra) -> Scorer:
@@ -98,8 +103,7 @@ def fit_gbt_early_stop(
     count and the validation loss after each tree.
     """
     full = fit_gbt(train, features, label, params)
-    rows = full.vectors(valid.filter(F.col(label).isNotNull())).withColumn(label, F.col(label).cast("double"))
-    losses = list(full.model.evaluateEachIteration(rows.select("features", label)))
+    losses = list(full.model.evaluateEachIteration(training_rows(valid, features, label)))
     best = losses.index(min(losses)) + 1
     final = fit_gbt(train if refit_on is None else refit_on, features, label, replace(params, trees=best))
     return final, best, losses
@@ -225,7 +229,6 @@ def grid_search(
         seed=seed,
         parallelism=parallelism,
     )
-    rows = vectorize(train.filter(F.col(label).isNotNull()), features).select("features", F.col(label).cast("double"))
-    fitted: CrossValidatorModel = search.fit(store(rows).df)
+    fitted: CrossValidatorModel = search.fit(training_rows(train, features, label))
     settings = [{p.name: v for p, v in m.items()} for m in fitted.getEstimatorParamMaps()]
     return Scorer(fitted.bestModel, tuple(features)), list(zip(settings, fitted.avgMetrics, strict=True))

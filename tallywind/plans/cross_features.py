@@ -86,10 +86,7 @@ def cross_features(raw: DataFrame, plan: DayPlan = DayPlan(), encode: bool = Tru
     out = before_counts(out, plan.first)
     out = sentinel_to_zero(out)
     out = out.withColumns({name: bins.concat_cross(a, b) for name, (a, b) in LEVEL_PAIRS.items()})
-    out = store(out).df
-    for block in BLOCKS:
-        out = store(cross_counts(out, block, **join_options)).df
-    return out
+    return cross_counts(store(out).df, *BLOCKS, **join_options)
 
 
 def feature_columns(df: DataFrame) -> list[str]:

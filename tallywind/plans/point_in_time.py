@@ -20,11 +20,11 @@ from tallywind.operators.history import (
     daily_key_hour_count,
     daily_user_lifetime,
 )
-from tallywind.operators.joins import attach
+from tallywind.operators.joins import attach_all
 from tallywind.operators.models import GBTParams, Scorer, fit_gbt, fit_gbt_early_stop, predict_proba
 from tallywind.operators.splits import multi_day_training_set
 from tallywind.schema import CATEGORY_COLUMNS, DayPlan
-from tallywind.storage import store, store_all
+from tallywind.storage import store
 
 RAW_LISTS = ["item_category_list", "item_property_list", "predict_category_property"]
 HELPERS = ["hour_before", "hour_after", "day", "context_timestamp", "context_id", "instance_id", "is_trade"]
@@ -76,10 +76,7 @@ def point_in_time_features(
         {"hour_before": hour_before("hour"), "hour_after": hour_after("hour")}
     )
     out = list_features(out) if lists else out.drop(*RAW_LISTS)
-    stored = store_all(*[table for table, _ in tables])
-    for table, (_, keys) in zip(stored, tables, strict=True):
-        weight = "_n" if "_n" in table.df.columns else None
-        out = attach(out, table, keys, weight=weight, **join_options)
+    out = attach_all(out, tables, weight="_n", **join_options)
     return out.na.fill(0, [c for c in out.columns if c != "is_trade"])
 
 
@@ -94,10 +91,9 @@ def score_point_in_time(
     Returns the model, the scores of the validation day (from the model that has not seen it) and of the
     test day. Category codes are fitted on the training rows and applied to all.
     """
-    parts = multi_day_training_set(features, plan)
     used = [c for c in categories if c in features.columns]
-    codes = label_codes(parts["train"], used)
-    coded = {name: to_category(codes, part) for name, part in parts.items()}
+    codes = label_codes(multi_day_training_set(features, plan)["train"], used)
+    coded = multi_day_training_set(store(to_category(codes, features)).df, plan)
     names = [f"{c}_cat" if c in used else c for c in features.columns if c not in HELPERS]
     fair, best, _ = fit_gbt_early_stop(coded["train"], coded["valid"], names, params=params)
     final = fit_gbt(coded["train"].unionByName(coded["valid"]), names, params=replace(params, trees=best))

@@ -6,7 +6,6 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -15,12 +14,17 @@ SETTINGS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and the benchmark."""
+    """A local session for tests and the benchmark.
+
+    Shuffle partitions match the cores and are not merged further: the tables are far below the sizes
+    at which merging pays.
+    """
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tallywind")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.driver.memory", memory)
         .getOrCreate()
     )

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _local_dirs: dict[str, str] = {}
@@ -30,12 +29,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tallywind-"))
 
 
-@dataclass(frozen=True)
 class Stored:
-    """A table written to the shared folder, with its exact row count."""
+    """A table whose rows are counted exactly, once, when its size is first asked for."""
 
-    df: DataFrame
-    rows: int
+    def __init__(self, df: DataFrame, rows: int | None = None):
+        self.df = df
+        self._rows = rows
+
+    @property
+    def rows(self) -> int:
+        if self._rows is None:
+            self._rows = self.df.count()
+        return self._rows
 
     @property
     def bytes(self) -> int:
@@ -43,18 +48,30 @@ class Stored:
 
 
 def store(df: DataFrame) -> Stored:
-    """Write ``df`` once, counting rows on the way, and return the table that was written."""
+    """Write ``df`` once and return the written table; counting it only reads the file footers."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"])
+    df.write.parquet(path)
+    return Stored(spark.read.schema(df.schema).parquet(path))
+
+
+def store_all(*frames: DataFrame | Stored) -> list[Stored]:
+    """Store and count several independent tables, their jobs running side by side."""
+
+    def ready(frame: DataFrame | Stored) -> Stored:
+        stored = frame if isinstance(frame, Stored) else store(frame)
+        stored.rows  # noqa: B018 - counted here, so that the counts run side by side too
+        return stored
+
+    return side_by_side(ready, frames)
 
 
-def store_all(*frames: DataFrame) -> list[Stored]:
-    """Store several independent tables, their jobs running side by side."""
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(frames)))) as pool:
-        return list(pool.map(store, frames))
+def side_by_side(fn: Callable, items: Sequence) -> list:
+    """``fn`` of every item, in threads, so that Spark runs the jobs it starts at the same time."""
+    if len(items) == 1:
+        return [fn(items[0])]
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(items)))) as pool:
+        return list(pool.map(fn, items))
 
 
 def _width(kind: T.DataType) -> int:
