@@ -96,7 +96,7 @@ def _cross_table(df, crosses, id_col, group_limit, join_options) -> tuple[DataFr
         sets.setdefault(x.key, []).extend(x.cols)
     sets = {key: list(dict.fromkeys(partners)) for key, partners in sets.items()}
     if combos.rows <= group_limit:
-        counted = _count_together(combos.df, cols, sets)
+        counted = _count_together(combos.df, cols, sets, join_options)
     else:
         counted = combos.df
         for key, partners in sets.items():
@@ -116,10 +116,11 @@ def _total(key: str, partner: str | None) -> str:
     return f"_{key}__{partner or ''}"
 
 
-def _count_together(combos: DataFrame, cols: Sequence[str], sets: dict[str, list[str | None]]) -> DataFrame:
-    """All counts by one window over the combinations laid out per (key, partner), then put back side by side.
+def _count_together(combos: DataFrame, cols: Sequence[str], sets: dict[str, list[str | None]], join_options) -> DataFrame:
+    """All counts at once: the combinations laid out per (key, partner), counted, looked up, and put back side by side.
 
-    For a bounded number of combinations: two shuffles whatever the number of pairs.
+    Counting merges map-side, and so does putting back, since the entries of a combination stay in its task
+    as long as the counts can be broadcast.
     """
     pairs = [(key, partner) for key, partners in sets.items() for partner in partners]
     kinds = {combos.schema[c].dataType for pair in pairs for c in pair if c}
@@ -128,10 +129,12 @@ def _count_together(combos: DataFrame, cols: Sequence[str], sets: dict[str, list
     for i, (key, partner) in enumerate(pairs):
         known = " and ".join(f"`{c}` is not null" for c in (key, partner) if c)
         second = f"cast(`{partner}` as {kind})" if partner else f"cast(null as {kind})"
-        entries.append(f"named_struct('s', {i}, 'a', cast(`{key}` as {kind}), 'b', {second}, 'k', {known})")
+        entries.append(f"named_struct('_s', {i}, '_a', cast(`{key}` as {kind}), '_b', {second}, '_known', {known})")
     laid_out = combos.selectExpr(*[f"`{c}`" for c in cols], "_n", f"inline(array({', '.join(entries)}))")
-    counted = laid_out.withColumn("_c", F.sum("_n").over(Window.partitionBy("s", "a", "b")))
-    picked = [F.expr(f"max(case when s = {i} and k then _c end) as `{_total(*pair)}`") for i, pair in enumerate(pairs)]
+    counts = laid_out.filter("_known").groupBy("_s", "_a", "_b").agg(F.sum("_n").alias("_c"), F.count(F.lit(1)).alias("_w"))
+    options = {**join_options, "spread_by": [*cols, "_s"]}
+    counted = attach(laid_out, counts, ["_s", "_a", "_b"], weight="_w", null_safe=True, **options)
+    picked = [F.expr(f"max(case when _s = {i} and _known then _c end) as `{_total(*pair)}`") for i, pair in enumerate(pairs)]
     return counted.groupBy(*cols, "_n").agg(*picked)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tallywind.operators.joins import attach_all
 from tallywind.operators.ordering import row_index
-from tallywind.storage import Stored, store
+from tallywind.storage import Stored, side_by_side, store
 
 
 def label_codes(df: DataFrame, cols: Sequence[str]) -> dict[str, Stored]:
@@ -26,28 +26,35 @@ def label_codes(df: DataFrame, cols: Sequence[str]) -> dict[str, Stored]:
     for c in cols:
         kind = "string" if isinstance(df.schema[c].dataType, T.StringType) else "number"
         kinds.setdefault(kind, []).append(c)
-    out = {}
-    for kind, names in kinds.items():
-        value = {c: F.col(c) if kind == "string" else F.col(c).cast("bigint") for c in names}
-        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), value[c].alias("v")) for c in names])).alias("p"))
-        distinct = pairs.select("p.c", "p.v").filter("v is not null").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        placed = store(row_index(distinct, ["c", "v"], "i")).df
-        # One row per coded column.
-        spans = {r["c"]: r for r in placed.groupBy("c").agg(F.min("i").alias("lo"), F.count("i").alias("n")).collect()}
-        for c in names:
-            lo, n = (spans[c]["lo"], spans[c]["n"]) if c in spans else (0, 0)
-            table = placed.filter(F.col("c") == c).select(
-                F.col("v").cast(df.schema[c].dataType).alias(c), (F.col("i") - lo).alias(f"{c}_code"), F.col("n").alias("_n")
-            )
-            out[c] = Stored(table, n)
+    coded = side_by_side(lambda names: _codes_of(df, names), list(kinds.values()))
+    out = {c: table for tables in coded for c, table in tables.items()}
     return {c: out[c] for c in cols}
 
+
+def _codes_of(df: DataFrame, names: Sequence[str]) -> dict[str, Stored]:
+    """Code tables of columns of one type."""
+    text = isinstance(df.schema[names[0]].dataType, T.StringType)
+    entries = [f"named_struct('c', '{c}', 'v', {f'`{c}`' if text else f'cast(`{c}` as bigint)'})" for c in names]
+    pairs = df.selectExpr(f"inline(array({', '.join(entries)}))").filter("v is not null")
+    placed = store(row_index(pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")), ["c", "v"], "i")).df
+    # One row per coded column.
+    spans = {r["c"]: r for r in placed.groupBy("c").agg(F.min("i").alias("lo"), F.count("i").alias("n")).collect()}
+    out = {}
+    for c in names:
+        lo, n = (spans[c]["lo"], spans[c]["n"]) if c in spans else (0, 0)
+        kind = df.schema[c].dataType.simpleString()
+        table = placed.filter(f"c = '{c}'").selectExpr(f"cast(v as {kind}) as `{c}`", f"i - {lo} as `{c}_code`", "n as _n")
+        out[c] = Stored(table, n)
+    return out
+
+
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "_code", **options) -> DataFrame:
     """Add the dense code of every column as ``<col><suffix>``; with an empty suffix the column is replaced."""
     out = attach_all(df, [(table, [c]) for c, table in label_codes(df, cols).items()], weight="_n", **options)
     kept = [c for c in df.columns if suffix or c not in cols]
     return out.select(*kept, *[F.col(f"{c}_code").alias(c + suffix) for c in cols])
 
+
 def to_category(codes: dict[str, Stored], df: DataFrame, suffix: str = "_cat", **options) -> DataFrame:
     """Category codes as fitted on the training rows by ``label_codes``; unseen values share the next code."""
     out = attach_all(df, [(table, [c]) for c, table in codes.items()], weight="_n", **options)
