@@ -44,6 +44,14 @@ def _window(df: DataFrame, day: str, label_day: int, days: Sequence[int]) -> Dat
     return df.filter((F.col(day) >= label_day - max(days)) & (F.col(day) < label_day))
 
 
+def _reach(df: DataFrame, day: str, label_days: Sequence[int] | None, days: Sequence[int] | None = None) -> DataFrame:
+    """Only the days the features of ``label_days`` look at, so that other days are never read."""
+    if label_days is None:
+        return df
+    df = df.filter(F.col(day) <= max(label_days))
+    return df if days is None else df.filter(F.col(day) >= min(label_days) - max(days))
+
+
 def _on_days(table: DataFrame, day: str, label_days: Sequence[int] | None) -> DataFrame:
     return table if label_days is None else table.filter(F.col(day).isin(list(label_days)))
 
@@ -73,7 +81,7 @@ def daily_history_rate(
 ) -> DataFrame:
     """``history_rate`` for every day at once: one row per (key, day), with the day's row count ``_n``."""
     daily = grouped(
-        df,
+        _reach(df, day, label_days, days),
         [key, day],
         F.count(F.lit(1)).alias("_n"),
         F.sum(label).alias("_y"),
@@ -156,8 +164,9 @@ def daily_hour_std(
     Each row is counted for every label day it precedes, and merged map-side into the day-hour groups.
     """
     span = max(days)
-    serves = F.explode(F.filter(F.array(*[F.lit(d) for d in label_days]), lambda x: (x > F.col(day)) & (x <= F.col(day) + span)))
-    fanned = df.select(hour, F.col(day).alias("_day"), *cols, serves.alias(day))
+    candidates = F.array(*[F.lit(d) for d in label_days])
+    serves = F.explode(F.filter(candidates, lambda x: (x > F.col(day)) & (x <= F.col(day) + span)))
+    fanned = _reach(df, day, label_days, days).select(hour, F.col(day).alias("_day"), *cols, serves.alias(day))
     aggs = [
         F.stddev_samp(F.when(F.col("_day") >= F.col(day) - i, F.col(c))).alias(f"{c}_hour_std_{i}")
         for i in days
@@ -193,7 +202,7 @@ def daily_key_hour_count(
     label_days: Sequence[int] | None = None,
 ) -> DataFrame:
     """``history_key_hour_count`` for every day at once."""
-    daily = grouped(df, [key, hour, day], F.count(F.lit(1)).alias("_n"))
+    daily = grouped(_reach(df, day, label_days, days), [key, hour, day], F.count(F.lit(1)).alias("_n"))
     counts = [F.sum("_n").over(_before([key, hour], day, i)).alias(f"{name}_{i}") for i in days]
     return _on_days(daily.select(key, hour, day, "_n", *counts), day, label_days)
 
@@ -251,7 +260,7 @@ def daily_user_lifetime(
 ) -> DataFrame:
     """``history_user_lifetime`` for every day a user occurs on; -1 where there is no earlier day."""
     daily = grouped(
-        df,
+        _reach(df, day, label_days),
         [user, day],
         F.count(F.lit(1)).alias("_n"),
         F.min(ts).alias("_b"),
