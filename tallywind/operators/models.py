@@ -53,8 +53,8 @@ class Scorer:
 
 def vectorize(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """Feature vector with nulls taken as the sentinel -1, since trees do not route missing values."""
-    known = {f"_f_{i}": F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(-1.0)) for i, c in enumerate(features)}
-    wide = df.withColumns(known)
+    known = {f"_f_{i}": f"coalesce(double(`{c}`), -1D) as _f_{i}" for i, c in enumerate(features)}
+    wide = df.selectExpr("*", *known.values())
     return VectorAssembler(inputCols=list(known), outputCol=out, handleInvalid="keep").transform(wide).drop(*known)
 
 

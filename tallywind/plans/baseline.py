@@ -12,12 +12,14 @@ from tallywind.operators.history import same_period_count
 from tallywind.operators.models import GBTParams, Scorer, fit_gbt, predict_proba
 from tallywind.operators.splits import split_by_day
 from tallywind.schema import BASELINE_FEATURES, DayPlan
+from tallywind.storage import store
 
 PARAMS = GBTParams(trees=80, depth=7)
 
 
 def baseline_features(raw: DataFrame, tz: str = "UTC") -> DataFrame:
-    return same_period_count(with_clock(dedupe_rows(raw), tz=tz))
+    """The distinct rows with their clock and search counts. They are written once, as counting and joining both read them."""
+    return same_period_count(store(with_clock(dedupe_rows(raw), tz=tz)).df)
 
 
 def score_baseline(

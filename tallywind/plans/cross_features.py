@@ -77,7 +77,7 @@ def shop_levels(df: DataFrame) -> DataFrame:
 
 def cross_features(raw: DataFrame, plan: DayPlan = DayPlan(), encode: bool = True, tz: str = "UTC", **join_options) -> DataFrame:
     """The full feature table over labelled and unlabelled rows."""
-    out = base_columns(dedupe_by(raw, ["instance_id"], ["context_timestamp"]), tz=tz)
+    out = base_columns(dedupe_by(raw, ["instance_id"], ["context_timestamp", "context_id"]), tz=tz)
     if encode:
         # Codes cover all rows, before rows without shop scores are dropped.
         out = store(out).df

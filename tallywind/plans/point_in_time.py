@@ -60,7 +60,7 @@ def point_in_time_features(
     Each history table is small next to the log (one row per key and label day) and is written once, which
     gives the size its join is chosen by.
     """
-    log = with_clock(dedupe_by(raw, ["instance_id"], ["context_timestamp"]), tz=tz)
+    log = with_clock(dedupe_by(raw, ["instance_id"], ["context_timestamp", "context_id"]), tz=tz)
     log = store(log).df
     label_days = plan.label_days
 
