@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -231,9 +232,10 @@ def _(spark, sf):
 @case("stack")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    bases = ensembles.default_bases(models.GBTParams(trees=3, depth=3))
+    bases = ensembles.default_bases(models.GBTParams(trees=3, depth=3), max_iter=10)
     bases.pop("deep")
-    return ensembles.stacked_scores(train, valid, bases=bases, k=3).select("instance_id", "predicted_score")
+    second = RandomForestClassifier(labelCol="is_trade", numTrees=10, maxDepth=4, seed=2018)
+    return ensembles.stacked_scores(train, valid, bases=bases, k=3, second=second).select("instance_id", "predicted_score")
 
 
 # Out-of-fold scores cover every training row once; test rows get a mean over the folds.
