@@ -25,6 +25,6 @@ def spark():
 @pytest.fixture(scope="session")
 def checker():
     db = duckdb.connect()
-    for name in ("events", "part", "customer", "supplier"):
+    for name in ("events", "part", "customer", "supplier", "documents", "pages", "benchmark", "labels"):
         db.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
     return db
