@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import langid, rules
+from tallywind.llm import langid, ngram_join, rules
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -63,3 +63,8 @@ from v
 def quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.judge(docs, rules.ordered_rules(docs)).select("doc_id", *rules.BASE, F.col("base_failed"), F.col("kept"))
+
+
+@query("op3_ngram_jaccard_join")
+def ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.similarity_groups(table(spark, sf_dir, "documents"))

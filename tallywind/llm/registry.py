@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,13 +14,29 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package by the folder it was imported from, wherever the session was started."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, known) if p)
+
+
 def query(name: str, sql: str | None = None):
     """Register a function of (spark, folder)."""
 
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
