@@ -172,19 +172,16 @@ class Coder:
         """Bits of every row under every language."""
         slot = self._slot(codes)
         missing = np.flatnonzero(self.keys[slot] != codes)
-        costs = None
-        if len(missing):
-            fresh, where = np.unique(codes[missing], return_inverse=True)
-            table = np.stack([t.code_length(fresh) for t in self.model.trees], axis=1)
-            to = self._slot(fresh)
-            self.keys[to], self.costs[to] = fresh, table
-            costs = table[where]
+        fresh, where = np.unique(codes[missing], return_inverse=True)
+        table = np.stack([t.code_length(fresh) for t in self.model.trees], axis=1)
         out = np.empty((len(offsets) - 1, len(self.model.languages)))
         for j in range(out.shape[1]):
             each = self.costs[:, j][slot]
-            if costs is not None:
-                each[missing] = costs[:, j]
+            each[missing] = table[where, j]
             out[:, j] = X.row_sums(each, offsets)
+        # Written last: a fresh code may take the slot of one read above.
+        to = self._slot(fresh)
+        self.keys[to], self.costs[to] = fresh, table
         return out
 
 
