@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import langid, ngram_join, rules
+from tallywind.llm import langid, ngram_join, packing, rules
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -68,3 +68,16 @@ def quality_rules(spark, sf_dir):
 @query("op3_ngram_jaccard_join")
 def ngram_jaccard_join(spark, sf_dir):
     return ngram_join.similarity_groups(table(spark, sf_dir, "documents"))
+
+
+def vocabulary() -> str:
+    """The path of the byte-level BPE vocabulary that ships with the public_tokenizers module."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_best_fit_packing")
+def best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_texts(docs, vocabulary())
