@@ -31,6 +31,7 @@ ORDER = 4
 UNKNOWN = "und"
 #: Texts of each language that the trees are grown from: a bounded sample, whole texts.
 SAMPLE_DOCS = 800
+PARTS = 64
 CACHE_SLOTS = 1 << 20
 
 
@@ -128,16 +129,18 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Grow one tree per language from at most ``sample_docs`` different texts of it, those with the least hashes.
+    """Grow one tree per language from about ``sample_docs`` different texts of it (rounded up to full parts), those
+    with the least hashes in each of ``PARTS`` parts.
 
     The sample bounds what reaches the driver; memory follows the number of languages.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    least = rows.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= sample_docs)
-    # At most sample_docs rows of 64 bits per language.
+    # Drawn from parts of each language, so that a language that most texts have is not ranked in one task.
+    rank = F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("h"))
+    least = rows.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= -(-sample_docs // PARTS))
+    # About sample_docs rows of 64 bits per language.
     chosen = rows.join(F.broadcast(least.drop("rank")), ["lang", "h"]).dropDuplicates(["lang", "h"])
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
 
