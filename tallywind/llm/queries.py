@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import langid, ngram_join, packing, rules
+from tallywind.llm import langid, ngram_join, packing, rules, secrets
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -81,3 +81,9 @@ def vocabulary() -> str:
 def best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_texts(docs, vocabulary())
+
+
+@query("op5_secret_scans")
+def secret_scans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs, secrets.discovery_levels(docs)).drop("text", "secret_spans")
