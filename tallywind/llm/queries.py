@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import langid, ngram_join, packing, rules, secrets
+from tallywind.llm import decontam, langid, ngram_join, packing, rules, secrets
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -87,3 +87,8 @@ def best_fit_packing(spark, sf_dir):
 def secret_scans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs, secrets.discovery_levels(docs)).drop("text", "secret_spans")
+
+
+@query("op8_benchmark_decontamination")
+def benchmark_decontamination(spark, sf_dir):
+    return decontam.held_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
