@@ -24,7 +24,7 @@ empty tables give empty results. Extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ FREQUENT = 1 << 18
 _CHUNK = 1 << 21
 
 
-def _identity(found: np.ndarray) -> int:
+def identity(found: np.ndarray) -> int:
     """A 64-bit hash of a sorted set."""
     if not len(found):
         return 0
@@ -108,14 +108,14 @@ def prefixes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, m
             yield {
                 "id": batch.column(0).slice(piece.first, piece.rows),
                 "n": np.array([len(s) for s in sets], dtype=np.int64),
-                "node": np.array([_identity(s) for s in sets], dtype=np.int64),
+                "node": np.array([identity(s) for s in sets], dtype=np.int64),
                 "prefix": X.list_array(kept, pa.int64()),
             }
 
     return X.map_batches(docs.select(doc_id, text), index, schema)
 
 
-def _shared_columns(rows: DataFrame) -> DataFrame:
+def shared_columns(rows: DataFrame) -> DataFrame:
     """(s, node, n, pos) of the columns that two classes or more hold among their indexed entries."""
     entries = rows.where("n > 0").select("node", "n", F.posexplode("prefix").alias("pos", "s"))
     held = entries.groupBy("s").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("s")
@@ -136,7 +136,7 @@ def _shared_columns(rows: DataFrame) -> DataFrame:
     return some.dropDuplicates(["s", "node"]).join(held, "s", "left_semi")
 
 
-def _reachable(percent: int, na: Column, nb: Column, overlap: Column) -> Column:
+def reachable(percent: int, na: Column, nb: Column, overlap: Column) -> Column:
     """Whether ``overlap`` common shingles are enough for a link."""
     return (100 + percent) * overlap >= percent * (na + nb)
 
@@ -144,11 +144,11 @@ def _reachable(percent: int, na: Column, nb: Column, overlap: Column) -> Column:
 def _possible(percent: int, a: str, b: str) -> Column:
     """Whether rows that first meet in this column can link, by their sizes and by what is left of either."""
     left = 1 + F.least(F.col(f"{a}n") - F.col(f"{a}pos") - 1, F.col(f"{b}n") - F.col(f"{b}pos") - 1)
-    return _reachable(percent, F.col(f"{a}n"), F.col(f"{b}n"), left)
+    return reachable(percent, F.col(f"{a}n"), F.col(f"{b}n"), left)
 
 
-def _links(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by exact overlap of their whole rows, which are made again from the texts."""
+def exact_links(pairs: DataFrame, docs: DataFrame, text: str, rows_of: Callable[[X.Slice], tuple[np.ndarray, list[np.ndarray]]], percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by exact overlap of their whole rows, which ``rows_of`` makes again from the texts."""
     spark = docs.sparkSession
     pairs = store(pairs).df
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -157,8 +157,7 @@ def _links(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in X.slices(batch.column(0)):
-            sets = X.shingle_sets(piece, size)
-            nodes = np.array([_identity(s) for s in sets], dtype=np.int64)
+            nodes, sets = rows_of(piece)
             first = np.unique(nodes, return_index=True)[1]
             keep = [i for i in first[may_hold(bits.value, nodes[first])] if len(sets[i])]
             yield {"node": nodes[keep], "row": X.list_array([sets[i] for i in keep], pa.int64())}
@@ -168,14 +167,24 @@ def _links(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int
     left = pairs.join(whole.select(F.col("node").alias("a"), F.col("row").alias("ra")), "a")
     both = left.join(whole.select(F.col("node").alias("b"), F.col("row").alias("rb")), "b")
     common = F.size(F.array_intersect("ra", "rb"))
-    return both.where(_reachable(percent, F.size("ra"), F.size("rb"), common)).select("a", "b")
+    return both.where(reachable(percent, F.size("ra"), F.size("rb"), common)).select("a", "b")
+
+
+def text_rows(size: int) -> Callable[[X.Slice], tuple[np.ndarray, list[np.ndarray]]]:
+    """The rows of whole texts, with their classes."""
 
+    def rows(piece: X.Slice) -> tuple[np.ndarray, list[np.ndarray]]:
+        sets = X.shingle_sets(piece, size)
+        return np.array([identity(s) for s in sets], dtype=np.int64), sets
 
-def _with_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows
+
+
+def with_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels, "node", "left").select("s", "node", "n", "pos", F.coalesce("comp", "node").alias("comp"))
 
 
-def _pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of every row with the pivot of each of its columns."""
     chosen = F.min_by(F.struct("node", "n", "pos"), F.xxhash64("node")).alias("p")
     pivots = entries.groupBy("s").agg(chosen).select("s", F.col("p.node").alias("pnode"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos"))
@@ -183,14 +192,22 @@ def _pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("node", "pnode").alias("a"), F.greatest("node", "pnode").alias("b")).groupBy("a", "b").agg(F.count("*").alias("met"))
 
 
-def _remaining_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components, each with its overlap in indexed columns."""
+def cross_pairs(entries: DataFrame) -> DataFrame:
+    """Rows of two entries (x..., ...) of one column in different components, each pair once per column.
+
+    They are taken between the entries outside the column's largest component and all others.
+    """
     sizes = entries.groupBy("s", "comp").agg(F.count("*").alias("rows"))
     main = sizes.groupBy("s").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
     mixed = store(entries.join(main.select("s", "main"), "s")).df
     few = mixed.where("comp <> main").select("s", *[F.col(c).alias(f"x{c}") for c in ("node", "n", "pos", "comp")])
-    met = few.join(mixed, "s").where((F.col("xcomp") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("xnode") < F.col("node"))))
-    met = met.where(_reachable(percent, F.col("xn"), F.col("n"), F.least("xn", "n")))
+    met = few.join(mixed, "s")
+    return met.where((F.col("xcomp") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("xnode") < F.col("node"))))
+
+
+def _remaining_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of different components, by their overlap in indexed columns."""
+    met = cross_pairs(entries).where(reachable(percent, F.col("xn"), F.col("n"), F.least("xn", "n")))
     bound = F.least(F.col("xn") - F.col("xpos") - 1, F.col("n") - F.col("pos") - 1)
     grouped = met.select(
         F.least("xnode", "node").alias("a"), F.greatest("xnode", "node").alias("b"), (F.col("xn") + F.col("n")).alias("total"),
@@ -201,20 +218,20 @@ def _remaining_pairs(entries: DataFrame, percent: int) -> DataFrame:
     )
     # At most what follows the first common column, and at most the columns met and the part of a row not indexed.
     most = F.least(1 + F.col("behind"), F.col("met") + F.ceil(percent * F.col("larger") / 100) - 1)
-    return counted.where((100 + percent) * most >= percent * F.col("total")).select("a", "b", "met")
+    return counted.where((100 + percent) * most >= percent * F.col("total")).select("a", "b")
 
 
 def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): id, set size and class of every text; class and component of every class with a link."""
     rows = store(prefixes(docs, doc_id, text, size, percent, frequent)).df
-    entries = store(_shared_columns(rows)).df
-    tried = store(_pivot_pairs(entries, percent).select("a", "b")).df
-    links = store(_links(tried, docs, text, size, percent)).df
+    entries = store(shared_columns(rows)).df
+    tried = store(pivot_pairs(entries, percent).select("a", "b")).df
+    links = store(exact_links(tried, docs, text, text_rows(size), percent)).df
     labels = components(links)
-    left = _remaining_pairs(_with_components(entries, labels), percent).select("a", "b")
+    left = _remaining_pairs(with_components(entries, labels), percent)
     left = store(left.join(tried, ["a", "b"], "left_anti")).df
     if not left.isEmpty():
-        more = _links(left, docs, text, size, percent)
+        more = exact_links(left, docs, text, text_rows(size), percent)
         labels = components(links.union(more))
     return rows.select("id", "n", "node"), labels
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import decontam, langid, ngram_join, packing, rules, secrets
+from tallywind.llm import decontam, langid, ngram_join, packing, paragraph_dedup, rules, secrets
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -92,3 +92,8 @@ def secret_scans(spark, sf_dir):
 @query("op8_benchmark_decontamination")
 def benchmark_decontamination(spark, sf_dir):
     return decontam.held_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_substring_dedup")
+def substring_dedup(spark, sf_dir):
+    return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
