@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import decontam, langid, ngram_join, packing, paragraph_dedup, rules, secrets
+from tallywind.llm import decontam, langid, lm, ngram_join, packing, paragraph_dedup, rules, secrets
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -97,3 +97,9 @@ def benchmark_decontamination(spark, sf_dir):
 @query("op10_substring_dedup")
 def substring_dedup(spark, sf_dir):
     return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op4_lm_scoring")
+def lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", (id_remainder("doc_id", 7) == 2).alias("held_out"), "text")
+    return lm.score_texts(docs, docs.where("not held_out"), ["doc_id", "held_out"])
