@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import decontam, langid, lm, ngram_join, packing, paragraph_dedup, rules, secrets
+from tallywind.llm import decontam, html_layout, langid, lm, ngram_join, packing, paragraph_dedup, rules, secrets, url_lists
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -103,3 +103,72 @@ def substring_dedup(spark, sf_dir):
 def lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", (id_remainder("doc_id", 7) == 2).alias("held_out"), "text")
     return lm.score_texts(docs, docs.where("not held_out"), ["doc_id", "held_out"])
+
+
+@query("op6_html_extraction")
+def html_extraction(spark, sf_dir):
+    return html_layout.extract(table(spark, sf_dir, "pages")).drop("html")
+
+
+START, DAYS = 1704067200, 90
+
+URL_SQL = rf"""
+with p as (
+  select page_id, url, {START} + ('0x' || substr(md5(cast(page_id as varchar)), 1, 8))::bigint % ({DAYS} * 86400) as fetched_at,
+         regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:]+)', 1) as host,
+         regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://[^/?#]*([^#]*)', 1) as path
+  from pages),
+n as (
+  select distinct host as pattern from p where host <> ''
+  union select distinct regexp_extract(host, '[^.]+\.[^.]+\.[^.]+$') from p where regexp_matches(host, '[^.]+\.[^.]+\.[^.]+$')
+  union select distinct host || regexp_extract(path, '^/[^/?]*/') from p where regexp_matches(path, '^/[^/?]*/')),
+k as (
+  select pattern, ('0x' || substr(md5(pattern), 1, 8))::bigint as k from n),
+e as (
+  select pattern, case when k % 4 = 0 then 'allow' else 'block' end as verdict, {START} + k % 3000000 as since from k where k % 3 = 0
+  union all select pattern, 'remove', {START} + k % 3000000 + 1000000 from k where k % 6 = 0
+  union all select pattern, 'block', {START} + k % 3000000 + 2000000 from k where k % 30 = 0),
+i as (
+  select pattern, verdict, since as start, coalesce(lead(since) over (partition by pattern order by since), 1::bigint << 61) as stop from e),
+m as (
+  select p.page_id, p.fetched_at, i.pattern, i.verdict,
+         row_number() over (partition by p.page_id order by length(i.pattern) desc, i.verdict desc, i.pattern desc) as r
+  from p join i on i.verdict <> 'remove' and i.start <= p.fetched_at and p.fetched_at < i.stop
+   and (case when contains(i.pattern, '/') then starts_with(p.host || p.path, i.pattern)
+             or ends_with(p.host, '.' || split_part(i.pattern, '/', 1)) and starts_with(p.path, substr(i.pattern, position('/' in i.pattern)))
+        else p.host = i.pattern or ends_with(p.host, '.' || i.pattern) end))
+select p.page_id, p.url, p.fetched_at, m.pattern, m.verdict, coalesce(m.verdict = 'block', false) as blocked
+from p left join m on m.page_id = p.page_id and m.r = 1
+"""
+
+
+def digits(c):
+    """The first 32 bits of a text's md5 as a number."""
+    return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long")
+
+
+def captures_and_entries(spark, sf_dir):
+    """Captures out of ``pages``, with a fetch time from the page id; and a dated list of their hosts, domains and folders."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.lit(START) + digits(F.col("page_id").cast("string")) % (DAYS * 86400))
+    host, path = url_lists.host_of(F.col("url")), url_lists.path_of(F.lower("url"))
+    at = pages.select(host.alias("host"), path.alias("path")).where("host is not null")
+    domain = F.regexp_extract("host", r"[^.]+\.[^.]+\.[^.]+$", 0)
+    folder = F.regexp_extract("path", r"^/[^/?]*/", 0)
+    named = F.array("host", domain, F.when(folder != "", F.concat("host", folder)).otherwise(F.lit("")))
+    names = at.select(F.explode(named).alias("pattern")).where("pattern <> ''").distinct().withColumn("k", digits(F.col("pattern")))
+    added = F.lit(START) + F.col("k") % 3000000
+    verdict = F.when(F.col("k") % 4 == 0, "allow").otherwise("block")
+    steps = F.array(
+        F.struct(verdict.alias("verdict"), added.alias("at"), (F.col("k") % 3 == 0).alias("on")),
+        F.struct(F.lit("remove").alias("verdict"), (added + 1000000).alias("at"), (F.col("k") % 6 == 0).alias("on")),
+        F.struct(F.lit("block").alias("verdict"), (added + 2000000).alias("at"), (F.col("k") % 30 == 0).alias("on")),
+    )
+    entries = names.select("pattern", F.explode(steps).alias("s")).where("s.on").select("pattern", "s.verdict", "s.at")
+    return captures, entries
+
+
+@query("op9_url_filters", URL_SQL)
+def url_filters(spark, sf_dir):
+    captures, entries = captures_and_entries(spark, sf_dir)
+    return url_lists.judge(captures, entries)
