@@ -172,3 +172,10 @@ def captures_and_entries(spark, sf_dir):
 def url_filters(spark, sf_dir):
     captures, entries = captures_and_entries(spark, sf_dir)
     return url_lists.judge(captures, entries)
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # at the top of the repository; it takes its vocabulary from here
+
+    return corpus_pipeline.run(spark, sf_dir)
