@@ -41,10 +41,10 @@ def path_of(url: Column) -> Column:
 
 
 def suffixes(host: Column) -> Column:
-    """The host and the domains it lies in, the top level left out unless it is the host."""
+    """The host and the domains it lies in."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
 
 
 def intervals(entries: DataFrame, pattern: str = "pattern", verdict: str = "verdict", at: str = "at") -> DataFrame:
