@@ -7,13 +7,13 @@ A text is the set of its distinct n-word shingles (A-Z lowered). Two texts link
 2. Columns are put in one global order, rare before frequent. A row that links with anything shares one of its first
    ``size - ceil(percent * size / 100) + 1`` columns with it, so only those entries are indexed; columns held by one
    class go at once.
-3. Each column's rows meet the column's pivot (least hashed row). Pairs whose sizes, or whose places in the two rows,
-   bound the overlap below what a link needs are discarded; overlap counts are accumulated per pair, the others are
-   counted exactly on whole rows, and links merge components.
+3. Each column's rows meet the column's pivot, the row that most others meet. Pairs whose sizes, or whose places in the
+   two rows, bound the overlap below what a link needs are discarded. The overlap of the others is accumulated over
+   blocks of columns of their whole rows, and a pair is given up as soon as its count and what is left of either row
+   fall below the bound that their sizes set. Links merge components.
 4. Within a column only pairs in different components are left. They are taken between the rows outside the column's
-   largest component and all others, so a group of near copies costs its stragglers times its size. Their overlap
-   counts are complete over the indexed columns, and pairs that cannot reach a link with what lies behind are
-   discarded; the rest is counted exactly. That loses no link.
+   largest component and all others, so a group of near copies costs its stragglers times its size, and go the same
+   way. That loses no link.
 
 Shingles and classes are 64-bit hashes; among N classes N**2 / 2**65 accidental merges are to be expected.
 
@@ -40,22 +40,31 @@ SIZE = 5
 PERCENT = 75
 #: Columns whose frequency is known to the order: 3 MB. Any order gives the same links; this one keeps columns short.
 FREQUENT = 1 << 18
+PIVOT_TURNS = 2
 _CHUNK = 1 << 21
 
 
-def identity(found: np.ndarray) -> int:
-    """A 64-bit hash of a sorted set."""
-    if not len(found):
-        return 0
-    size = np.array([len(found)], dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    h = X.mix(found * np.uint64(0x9E3779B97F4A7C15) + size)
-    return int(X.mix(h.sum(dtype=np.uint64, keepdims=True) ^ size).view(np.int64)[0])
+def identities(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every set, given end to end; 0 for the empty set."""
+    sizes = np.diff(bounds)
+    salt = sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    each = X.mix(flat * np.uint64(0x9E3779B97F4A7C15) + np.repeat(salt, sizes))
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(each, dtype=np.uint64)])
+    out = X.mix((total[bounds[1:]] - total[bounds[:-1]]) ^ salt).view(np.int64)
+    return np.where(sizes > 0, out, 0)
+
+
+def identities_of(sets: list[np.ndarray]) -> np.ndarray:
+    if not sets:
+        return np.zeros(0, dtype=np.int64)
+    return identities(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
 
 
 def frequent_columns(docs: DataFrame, text: str, size: int = SIZE, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted, and in how many texts they were counted.
 
-    Each task counts chunks of about two million entries and reports what occurs three times or more in one.
+    Each task counts chunks of about two million entries and reports what occurs twice or more in one. A passage that
+    is rare in every chunk but common in the whole is met twice in some chunk or other and so becomes known too.
     """
     schema = T.StructType([T.StructField("s", T.LongType()), T.StructField("n", T.LongType())])
     target = pa.schema([("s", pa.int64()), ("n", pa.int64())])
@@ -108,7 +117,7 @@ def prefixes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, m
             yield {
                 "id": batch.column(0).slice(piece.first, piece.rows),
                 "n": np.array([len(s) for s in sets], dtype=np.int64),
-                "node": np.array([identity(s) for s in sets], dtype=np.int64),
+                "node": identities_of(sets),
                 "prefix": X.list_array(kept, pa.int64()),
             }
 
@@ -147,12 +156,12 @@ def _possible(percent: int, a: str, b: str) -> Column:
     return reachable(percent, F.col(f"{a}n"), F.col(f"{b}n"), left)
 
 
-def exact_links(pairs: DataFrame, docs: DataFrame, text: str, rows_of: Callable[[X.Slice], tuple[np.ndarray, list[np.ndarray]]], percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by exact overlap of their whole rows, which ``rows_of`` makes again from the texts."""
-    spark = docs.sparkSession
-    pairs = store(pairs).df
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bits = shared(spark, key_filter(wanted, "node"))
+RowsOf = Callable[[X.Slice], tuple[np.ndarray, list[np.ndarray]]]
+
+
+def whole_rows(wanted: DataFrame, docs: DataFrame, text: str, rows_of: RowsOf) -> DataFrame:
+    """(node, row) for every node of ``wanted``, its whole row made again from the texts."""
+    bits = shared(docs.sparkSession, key_filter(wanted, "node"))
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("row", T.ArrayType(T.LongType()))])
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -162,12 +171,52 @@ def exact_links(pairs: DataFrame, docs: DataFrame, text: str, rows_of: Callable[
             keep = [i for i in first[may_hold(bits.value, nodes[first])] if len(sets[i])]
             yield {"node": nodes[keep], "row": X.list_array([sets[i] for i in keep], pa.int64())}
 
-    made = X.map_batches(docs.select(text), rows, schema)
-    whole = store(made.join(wanted, "node", "left_semi").dropDuplicates(["node"])).df
+    return X.map_batches(docs.select(text), rows, schema).join(wanted, "node", "left_semi").dropDuplicates(["node"])
+
+
+def exact_links(pairs: DataFrame, docs: DataFrame, text: str, rows_of: RowsOf, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by exact overlap of their whole rows, which ``rows_of`` makes again from the texts."""
+    pairs = store(pairs).df
+    wanted = store(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()).df
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (2, 3))
+            lengths = [np.diff(batch.column(i).offsets.to_numpy()) for i in (2, 3)]
+            ends = [np.cumsum(n) for n in lengths]
+            hits = [
+                overlap_reaches(left[ea - na : ea], right[eb - nb : eb], percent)
+                for na, ea, nb, eb in zip(lengths[0], ends[0], lengths[1], ends[1], strict=True)
+            ]
+            yield batch.select([0, 1]).filter(pa.array(hits, pa.bool_()))
+
+    # One exchange of the rows by class serves both ends.
+    whole = whole_rows(wanted, docs, text, rows_of)
     left = pairs.join(whole.select(F.col("node").alias("a"), F.col("row").alias("ra")), "a")
     both = left.join(whole.select(F.col("node").alias("b"), F.col("row").alias("rb")), "b")
-    common = F.size(F.array_intersect("ra", "rb"))
-    return both.where(reachable(percent, F.size("ra"), F.size("rb"), common)).select("a", "b")
+    return both.select("a", "b", "ra", "rb").mapInArrow(linked, "a long, b long")
+
+
+#: Blocks of columns that overlap is accumulated over.
+BLOCKS = 4
+
+
+def overlap_reaches(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two rows (sorted, as signed or unsigned values) link: their overlap is accumulated over blocks of
+    columns, and the pair is given up once the columns left in either row cannot bring it to what their sizes ask."""
+    if (100 + percent) * min(len(a), len(b)) < percent * (len(a) + len(b)):
+        return False
+    a, b = a.view(np.uint64), b.view(np.uint64)
+    cuts = [np.uint64((1 << 64) // BLOCKS * i) for i in range(1, BLOCKS)]
+    at = np.concatenate([[0], np.searchsorted(a, cuts), [len(a)]])
+    bt = np.concatenate([[0], np.searchsorted(b, cuts), [len(b)]])
+    met = 0
+    for k in range(BLOCKS):
+        met += len(np.intersect1d(a[at[k] : at[k + 1]], b[bt[k] : bt[k + 1]], assume_unique=True))
+        left = min(len(a) - at[k + 1], len(b) - bt[k + 1])
+        if (100 + percent) * (met + left) < percent * (len(a) + len(b)):
+            return False
+    return True
 
 
 def text_rows(size: int) -> Callable[[X.Slice], tuple[np.ndarray, list[np.ndarray]]]:
@@ -175,7 +224,7 @@ def text_rows(size: int) -> Callable[[X.Slice], tuple[np.ndarray, list[np.ndarra
 
     def rows(piece: X.Slice) -> tuple[np.ndarray, list[np.ndarray]]:
         sets = X.shingle_sets(piece, size)
-        return np.array([identity(s) for s in sets], dtype=np.int64), sets
+        return identities_of(sets), sets
 
     return rows
 
@@ -184,55 +233,76 @@ def with_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels, "node", "left").select("s", "node", "n", "pos", F.coalesce("comp", "node").alias("comp"))
 
 
-def pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of every row with the pivot of each of its columns."""
-    chosen = F.min_by(F.struct("node", "n", "pos"), F.xxhash64("node")).alias("p")
-    pivots = entries.groupBy("s").agg(chosen).select("s", F.col("p.node").alias("pnode"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos"))
-    met = entries.join(pivots, "s").where((F.col("node") != F.col("pnode")) & _possible(percent, "", "p"))
-    return met.select(F.least("node", "pnode").alias("a"), F.greatest("node", "pnode").alias("b")).groupBy("a", "b").agg(F.count("*").alias("met"))
+def pivot_pairs(entries: DataFrame, percent: int, turn: int = 0) -> DataFrame:
+    """Candidate pairs of every row with the pivot of each of its columns, if that is in another component.
+
+    The pivot is the row that most others meet over all its columns: the middle of a group of near copies. In later
+    turns it is the least by a hash of that turn.
+    """
+    if turn:
+        order = F.xxhash64("node", F.lit(turn))
+    else:
+        sizes = entries.groupBy("s").agg(F.count("*").alias("size"))
+        weights = entries.join(sizes, "s").groupBy("node").agg(F.sum("size").alias("weight"))
+        entries = store(entries.join(weights, "node")).df
+        order = F.struct(-F.col("weight"), F.xxhash64("node"))
+    pivots = entries.groupBy("s").agg(F.min_by(F.struct("node", "n", "pos", "comp"), order).alias("p"))
+    pivots = pivots.select("s", *[F.col(f"p.{c}").alias(f"p{c}") for c in ("node", "n", "pos", "comp")])
+    met = entries.join(pivots, "s").where((F.col("comp") != F.col("pcomp")) & _possible(percent, "", "p"))
+    return met.select(F.least("node", "pnode").alias("a"), F.greatest("node", "pnode").alias("b")).distinct()
+
+
+def mixed_columns(entries: DataFrame) -> DataFrame:
+    """The entries of columns with two components or more, with the column's largest component as ``main``."""
+    sizes = entries.groupBy("s", "comp").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("s").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
+    return store(entries.join(main.select("s", "main"), "s")).df
 
 
-def cross_pairs(entries: DataFrame) -> DataFrame:
+def cross_pairs(mixed: DataFrame, possible: Column) -> DataFrame:
     """Rows of two entries (x..., ...) of one column in different components, each pair once per column.
 
     They are taken between the entries outside the column's largest component and all others.
     """
-    sizes = entries.groupBy("s", "comp").agg(F.count("*").alias("rows"))
-    main = sizes.groupBy("s").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
-    mixed = store(entries.join(main.select("s", "main"), "s")).df
-    few = mixed.where("comp <> main").select("s", *[F.col(c).alias(f"x{c}") for c in ("node", "n", "pos", "comp")])
-    met = few.join(mixed, "s")
+    few = mixed.where("comp <> main").select("s", *[F.col(c).alias(f"x{c}") for c in mixed.columns if c not in ("s", "main")])
+    met = few.join(mixed, "s").where(possible)
     return met.where((F.col("xcomp") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("xnode") < F.col("node"))))
 
 
 def _remaining_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components, by their overlap in indexed columns."""
-    met = cross_pairs(entries).where(reachable(percent, F.col("xn"), F.col("n"), F.least("xn", "n")))
-    bound = F.least(F.col("xn") - F.col("xpos") - 1, F.col("n") - F.col("pos") - 1)
-    grouped = met.select(
-        F.least("xnode", "node").alias("a"), F.greatest("xnode", "node").alias("b"), (F.col("xn") + F.col("n")).alias("total"),
-        F.greatest("xn", "n").alias("larger"), bound.alias("behind"),
-    )
-    counted = grouped.groupBy("a", "b").agg(
-        F.count("*").alias("met"), F.first("total").alias("total"), F.first("larger").alias("larger"), F.max("behind").alias("behind")
-    )
-    # At most what follows the first common column, and at most the columns met and the part of a row not indexed.
-    most = F.least(1 + F.col("behind"), F.col("met") + F.ceil(percent * F.col("larger") / 100) - 1)
-    return counted.where((100 + percent) * most >= percent * F.col("total")).select("a", "b")
+    """Candidate pairs of different components, by what is left of either row behind the first column they share."""
+    return cross_pairs(mixed_columns(entries), _possible(percent, "x", "")).select(F.least("xnode", "node").alias("a"), F.greatest("xnode", "node").alias("b")).distinct()
+
+
+def components_by_pivots(
+    entries: DataFrame, percent: int, exact: Callable[[DataFrame], DataFrame], remaining: Callable[[DataFrame, int], DataFrame] = _remaining_pairs
+) -> DataFrame:
+    """(node, comp) of the rows of ``entries`` (s, node, n, pos) that link; ``exact`` keeps the pairs that do.
+
+    ``PIVOT_TURNS`` turns of pivots first, then the pairs still in different components, as ``remaining`` gives them.
+    """
+    labels = entries.select("node", F.col("node").alias("comp")).limit(0)
+    tried = links = None
+    for turn in range(PIVOT_TURNS + 1):
+        labelled = with_components(entries, labels)
+        pairs = pivot_pairs(labelled, percent, turn) if turn < PIVOT_TURNS else remaining(labelled, percent)
+        pairs = store(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")).df
+        if pairs.isEmpty():
+            if turn < PIVOT_TURNS:
+                continue
+            return labels
+        fresh = store(exact(pairs)).df
+        tried = pairs if tried is None else tried.union(pairs)
+        links = fresh if links is None else links.union(fresh)
+        labels = components(links)
+    return labels
 
 
 def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): id, set size and class of every text; class and component of every class with a link."""
     rows = store(prefixes(docs, doc_id, text, size, percent, frequent)).df
     entries = store(shared_columns(rows)).df
-    tried = store(pivot_pairs(entries, percent).select("a", "b")).df
-    links = store(exact_links(tried, docs, text, text_rows(size), percent)).df
-    labels = components(links)
-    left = _remaining_pairs(with_components(entries, labels), percent)
-    left = store(left.join(tried, ["a", "b"], "left_anti")).df
-    if not left.isEmpty():
-        more = exact_links(left, docs, text, text_rows(size), percent)
-        labels = components(links.union(more))
+    labels = components_by_pivots(entries, percent, lambda pairs: exact_links(pairs, docs, text, text_rows(size), percent))
     return rows.select("id", "n", "node"), labels
 
 
