@@ -102,7 +102,15 @@ def concat_cross(a: str, b: str) -> Column:
     return F.concat(F.col(a).cast("string"), F.col(b).cast("string")).try_cast("bigint")
 
 
-def log_loss_terms(label: str, score: str) -> Column:
-    """y ln p + (1-y) ln(1-p), with 0 ln 0 taken as null when p is 0 or 1."""
-    y, p = F.col(label), F.col(score)
-    return y * F.log(p) + (1 - y) * F.log(1 - p)
+def log_loss_terms(label: str, score: str, eps: float | None = None) -> Column:
+    """y ln p + (1-y) ln(1-p) with 0 ln 0 = 0 and ln 0 = -inf; null where the label is null, an error where the score is."""
+    y, p = F.col(label), F.col(score).cast("double")
+    # Clipping would turn a null score into eps, so nulls are met first.
+    known = F.when(p.isNull() & y.isNotNull(), F.raise_error(F.lit(f"{score} is null")).cast("double")).otherwise(p)
+    if eps is not None:
+        known = F.greatest(F.least(known, F.lit(1.0 - eps)), F.lit(eps))
+
+    def part(weight: Column, chance: Column) -> Column:
+        return F.when(weight == 0, F.lit(0.0)).when(chance <= 0, F.lit(float("-inf"))).otherwise(weight * F.log(chance))
+
+    return F.when(y.isNotNull(), part(y, known) + part(1 - y, 1 - known))

@@ -21,10 +21,12 @@ def list_number(col: str, i: int, sep: str = ";") -> Column:
     return F.element_at(F.split(F.col(col), sep), F.lit(i + 1)).cast("bigint")
 
 
-def predicted_category(col: str, i: int, missing: int = -1) -> Column:
-    """The category before ``:`` of the i-th piece, ``missing`` past the end."""
+def predicted_category(col: str, i: int, missing: int = -1, strict: bool = True) -> Column:
+    """The category before ``:`` of the i-th piece, ``missing`` past the end; other text is an error, or ``missing`` if not ``strict``."""
     piece = F.get(F.split(F.col(col), ";"), F.lit(i))
-    return F.coalesce(F.split_part(piece, F.lit(":"), F.lit(1)).cast("bigint"), F.lit(missing))
+    category = F.split_part(piece, F.lit(":"), F.lit(1))
+    category = category.cast("bigint") if strict else category.try_cast("bigint")
+    return F.coalesce(category, F.lit(missing))
 
 
 def category_match_flags(category_cols: list[str], predicted_cols: list[str]) -> dict[str, Column]:

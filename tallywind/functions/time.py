@@ -44,6 +44,17 @@ def hour_bucket(hour: str) -> Column:
     return F.when(h.between(7, 12), 1).when(h.between(13, 20), 2).otherwise(3)
 
 
-def with_clock(df: DataFrame, epoch: str = "context_timestamp", tz: str = "UTC") -> DataFrame:
-    """Add ``day`` (of the month) and ``hour``."""
-    return df.withColumns({"day": day_of_month(epoch, tz), "hour": hour_of_day(epoch, tz)})
+DAY_NUMBERS = {"month": day_of_month, "index": day_index}
+
+
+def with_clock(df: DataFrame, epoch: str = "context_timestamp", tz: str = "UTC", day_number: str = "month") -> DataFrame:
+    """Add ``day`` and ``hour``. The day is that of the month, or for ``index`` a number that grows across months."""
+    return df.withColumns({"day": DAY_NUMBERS[day_number](epoch, tz), "hour": hour_of_day(epoch, tz)})
+
+
+def check_day_number(df: DataFrame, epoch: str = "context_timestamp", tz: str = "UTC", day_number: str = "month") -> None:
+    """An error where the day of the month would put later rows before earlier ones: the log spans months."""
+    if day_number == "month":
+        first, last = df.agg(F.min(epoch), F.max(epoch)).select(*[F.trunc(local_time(c, tz).cast("date"), "month") for c in (f"min({epoch})", f"max({epoch})")]).first()
+        if first != last:
+            raise ValueError("the log spans more than one month: use day_number='index' and a DayPlan in the same numbers")

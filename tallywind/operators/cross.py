@@ -107,7 +107,7 @@ def _cross_table(df, crosses, id_col, group_limit, join_options) -> tuple[DataFr
             pairs, total = _total(x.key, c), _total(x.anchor, None)
             features.append(f"`{pairs}` as `{c}_{x.prefix}_cnt`")
             features.append(f"try_divide(double(`{pairs}`), double(`{total}`)) as `{c}_{x.prefix}_prob`")
-    table = Stored(counted.selectExpr(*[f"`{c}`" for c in cols], "_n", *features), combos.rows)
+    table = Stored(counted.selectExpr(*[f"`{c}`" for c in cols], "_n", *features), (combos.rows, combos.text_bytes))
     # One row per stored combination, so the size is known; it is written only if it cannot be broadcast.
     return (table if table.bytes <= join_options.get("broadcast_bytes", BROADCAST_BYTES) else table.df), cols
 

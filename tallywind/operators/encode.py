@@ -38,13 +38,13 @@ def _codes_of(df: DataFrame, names: Sequence[str]) -> dict[str, Stored]:
     pairs = df.selectExpr(f"inline(array({', '.join(entries)}))").filter("v is not null")
     placed = store(row_index(pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")), ["c", "v"], "i")).df
     # One row per coded column.
-    spans = {r["c"]: r for r in placed.groupBy("c").agg(F.min("i").alias("lo"), F.count("i").alias("n")).collect()}
+    spans = {r["c"]: r for r in placed.groupBy("c").agg(F.min("i").alias("lo"), F.count("i").alias("n"), F.sum(F.octet_length(F.col("v").cast("string"))).alias("bytes")).collect()}
     out = {}
     for c in names:
-        lo, n = (spans[c]["lo"], spans[c]["n"]) if c in spans else (0, 0)
+        lo, n, size = (spans[c]["lo"], spans[c]["n"], spans[c]["bytes"]) if c in spans else (0, 0, 0)
         kind = df.schema[c].dataType.simpleString()
         table = placed.filter(f"c = '{c}'").selectExpr(f"cast(v as {kind}) as `{c}`", f"i - {lo} as `{c}_code`", "n as _n")
-        out[c] = Stored(table, n)
+        out[c] = Stored(table, (n, size if kind == "string" else 0))
     return out
 
 
@@ -101,19 +101,24 @@ def leaf_columns(model, df: DataFrame, leaf: str = "leaf") -> DataFrame:
         leaf, "rawPrediction", "probability", "prediction"
     )
 
-def leaf_encode(model, fit_frames: Sequence[DataFrame], df: DataFrame, out: str = "leaves") -> DataFrame:
-    """One-hot vector of the leaves, the leaf values being those met in ``fit_frames``."""
+def leaf_encoder(model, fit_frames: Sequence[DataFrame]):
+    """One-hot encoder of the leaves that the rows of ``fit_frames`` fall into."""
     trees = range(len(model.trees))
     both = leaf_columns(model, fit_frames[0])
     for frame in fit_frames[1:]:
         both = both.unionByName(leaf_columns(model, frame), allowMissingColumns=True)
-    hot = OneHotEncoder(
+    return OneHotEncoder(
         inputCols=[f"leaf_{t}" for t in trees],
         outputCols=[f"hot_{t}" for t in trees],
         handleInvalid="keep",
         dropLast=False,
     ).fit(both)
-    encoded = hot.transform(leaf_columns(model, df))
+
+
+def leaf_encode(model, fit_frames: Sequence[DataFrame], df: DataFrame, out: str = "leaves", encoder=None) -> DataFrame:
+    """One-hot vector of the leaves, the leaf values being those met in ``fit_frames``, or known to ``encoder``."""
+    trees = range(len(model.trees))
+    encoded = (encoder or leaf_encoder(model, fit_frames)).transform(leaf_columns(model, df))
     wide = VectorAssembler(inputCols=[f"hot_{t}" for t in trees], outputCol=out).transform(encoded)
     return wide.drop(*[f"leaf_{t}" for t in trees], *[f"hot_{t}" for t in trees])
 
@@ -122,6 +127,7 @@ def select_by_importance(df: DataFrame, model, names: Sequence[str], factor: flo
     """Keep the features whose importance is at least ``factor`` times the mean. Returns (rows, kept names)."""
     scores = model.featureImportances.toArray()
     floor = factor * scores.mean()
-    kept = [i for i, s in enumerate(scores) if s >= floor]
+    # Equal importances are all below the floor: then nothing sets a feature apart and all stay.
+    kept = [i for i, s in enumerate(scores) if s >= floor] or list(range(len(scores)))
     sliced = VectorSlicer(inputCol=model.getFeaturesCol(), outputCol=out, indices=kept).transform(df)
     return sliced, [names[i] for i in kept]

@@ -16,6 +16,7 @@ from tallywind.functions.bins import float_ratio
 from tallywind.operators.aggregates import grouped
 from tallywind.operators.joins import attach, attach_all
 from tallywind.schema import SHOP_MEASURES
+from tallywind.storage import store
 
 DAYS = (1, 2, 3)
 RATE_KEYS = ("shop_id", "item_id", "hour", "item_pv_level", "item_sales_level")
@@ -124,14 +125,18 @@ def daily_before_counts(
     )
 
 
-def before_counts(df: DataFrame, first_day: int, kinds: Sequence[str] = ("cnt1", "cntx"), day: str = "day") -> DataFrame:
-    """Previous-day and cumulative counts of the row's user, item and shop."""
+def before_counts(df: DataFrame, first_day: int, kinds: Sequence[str] = ("cnt1", "cntx"), day: str = "day", **join_options) -> DataFrame:
+    """Previous-day and cumulative counts of the row's user, item and shop.
+
+    The keys and days are written once for the three tables, so that ``df`` itself is worked out twice and not four times.
+    """
     lookups = []
+    keys = store(df.select("instance_id", "user_id", "item_id", "shop_id", day)).df
     for name in ("user", "item", "shop"):
         key = f"{name}_id"
-        table = daily_before_counts(df, key, first_day, name, day)
+        table = daily_before_counts(keys, key, first_day, name, day)
         lookups.append((table.select(key, day, "_n", *[f"{name}_{kind}" for kind in kinds]), [key, day]))
-    return attach_all(df, lookups, weight="_n")
+    return attach_all(df, lookups, weight="_n", **join_options)
 
 
 def history_hour_std(

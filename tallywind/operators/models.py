@@ -96,15 +96,27 @@ def fit_gbt_early_stop(
     label: str = LABEL,
     params: GBTParams = GBTParams(),
     refit_on: DataFrame | None = None,
+    patience: int | None = None,
+    most: int = 20_000,
 ) -> tuple[Scorer, int, list[float]]:
     """Fit, keep the number of trees with the least validation loss, and refit with that number.
 
-    The refit uses ``refit_on`` (all labelled rows) if given, else ``train``. Returns the model, the tree
-    count and the validation loss after each tree.
+    With ``patience`` the number of trees is doubled, up to ``most``, until the best is followed by that many that are no
+    better; trees of one seed are the same whatever their number, so a longer fit only adds to a shorter one. The refit
+    uses ``refit_on`` (all labelled rows) if given, else ``train``. Returns the model, the tree count and the validation
+    loss after each tree.
     """
-    full = fit_gbt(train, features, label, params)
-    losses = list(full.model.evaluateEachIteration(training_rows(valid, features, label)))
-    best = losses.index(min(losses)) + 1
+    rows, held = training_rows(train, features, label), training_rows(valid, features, label)
+    trees = params.trees
+    while True:
+        full = Scorer(gbt(replace(params, trees=trees), label).fit(rows), tuple(features))
+        losses = list(full.model.evaluateEachIteration(held))
+        best = losses.index(min(losses)) + 1
+        if patience is None or best <= trees - patience or trees >= most:
+            break
+        trees = min(max(2 * trees, patience + 1), most)
+    if refit_on is None and best == trees:
+        return full, best, losses
     final = fit_gbt(train if refit_on is None else refit_on, features, label, replace(params, trees=best))
     return final, best, losses
 

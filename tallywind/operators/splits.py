@@ -26,7 +26,7 @@ def multi_day_training_set(features: DataFrame, plan: DayPlan, day: str = "day")
 def kfold(df: DataFrame, k: int = 5, id_col: str = "instance_id", fold: str = "fold") -> DataFrame:
     """Contiguous folds in id order, the first ``rows % k`` of them one row longer."""
     indexed = row_index(df, [id_col], "_index")
-    n = df.count()
+    n = indexed.count()  # counts what row_index has written, not df anew
     size, longer = divmod(n, k)
     edge = longer * (size + 1)
     head = F.floor(F.col("_index") / F.lit(size + 1))
@@ -35,5 +35,6 @@ def kfold(df: DataFrame, k: int = 5, id_col: str = "instance_id", fold: str = "f
 
 
 def hash_fold(df: DataFrame, k: int = 5, id_col: str = "instance_id", fold: str = "fold") -> DataFrame:
-    """Folds by hash of the id: no sort and no shuffle."""
-    return df.withColumn(fold, F.pmod(F.xxhash64(id_col), F.lit(k)).cast("int"))
+    """Folds by hash of the id: no sort and no shuffle. The hash is the first 32 bits of the id's md5."""
+    digits = F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn(fold, (digits % k).cast("int"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tallywind.functions.time import with_clock
+from tallywind.functions.time import check_day_number, with_clock
 from tallywind.operators.clean import dedupe_rows, split_labelled
 from tallywind.operators.history import same_period_count
 from tallywind.operators.models import GBTParams, Scorer, fit_gbt, predict_proba
@@ -17,9 +17,11 @@ from tallywind.storage import store
 PARAMS = GBTParams(trees=80, depth=7)
 
 
-def baseline_features(raw: DataFrame, tz: str = "UTC") -> DataFrame:
+def baseline_features(raw: DataFrame, tz: str = "UTC", day_number: str = "month") -> DataFrame:
     """The distinct rows with their clock and search counts. They are written once, as counting and joining both read them."""
-    return same_period_count(store(with_clock(dedupe_rows(raw), tz=tz)).df)
+    log = store(with_clock(dedupe_rows(raw), tz=tz, day_number=day_number)).df
+    check_day_number(log, tz=tz, day_number=day_number)
+    return same_period_count(log)
 
 
 def score_baseline(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywind.functions import bins
 from tallywind.functions.lists import list_item, list_length
-from tallywind.functions.time import hour_bucket, with_clock
+from tallywind.functions.time import check_day_number, hour_bucket, with_clock
 from tallywind.operators.clean import dedupe_by, drop_sentinel_rows, scale_column, sentinel_to_zero, split_labelled
 from tallywind.operators.cross import (
     ITEM_CROSSES,
@@ -54,13 +54,13 @@ BLOCKS = [
 ]
 
 
-def base_columns(df: DataFrame, flag_sets: dict = bins.FLAG_SETS, tz: str = "UTC") -> DataFrame:
+def base_columns(df: DataFrame, flag_sets: dict = bins.FLAG_SETS, tz: str = "UTC", day_number: str = "month") -> DataFrame:
     """List lengths and pieces, membership flags, day and hour."""
     columns = {name: list_length(col) for name, col in LENGTHS.items()}
     columns |= {f"{col}{i}": list_item(col, i) for col, positions in PIECES.items() for i in positions}
     columns |= {name: bins.membership_flag(bins.FLAG_COLUMNS[name], values) for name, values in flag_sets.items()}
     columns["shop_score_delivery0"] = bins.range_flag("shop_score_delivery", 0.96, 0.98)
-    clocked = with_clock(df, tz=tz).withColumns(columns)
+    clocked = with_clock(df, tz=tz, day_number=day_number).withColumns(columns)
     return clocked.withColumn("hour_map", hour_bucket("hour"))
 
 
@@ -75,15 +75,16 @@ def shop_levels(df: DataFrame) -> DataFrame:
     return out.withColumn("normal_shop", bins.all_equal_flag({f"_{c}": 3 for c in measured})).drop(*[f"_{c}" for c in measured])
 
 
-def cross_features(raw: DataFrame, plan: DayPlan = DayPlan(), encode: bool = True, tz: str = "UTC", **join_options) -> DataFrame:
+def cross_features(raw: DataFrame, plan: DayPlan = DayPlan(), encode: bool = True, tz: str = "UTC", day_number: str = "month", **join_options) -> DataFrame:
     """The full feature table over labelled and unlabelled rows."""
-    out = base_columns(dedupe_by(raw, ["instance_id"], ["context_timestamp", "context_id"]), tz=tz)
+    out = base_columns(dedupe_by(raw, ["instance_id"], ["context_timestamp", "context_id"]), tz=tz, day_number=day_number)
+    check_day_number(raw, tz=tz, day_number=day_number)
     if encode:
         # Codes cover all rows, before rows without shop scores are dropped.
         out = store(out).df
         out = label_encode(out, [f"{c}{i}" for c, positions in PIECES.items() for i in positions] + ENCODED_IDS, "", **join_options)
     out = store(shop_levels(out)).df
-    out = before_counts(out, plan.first)
+    out = before_counts(out, plan.first, **join_options)
     out = sentinel_to_zero(out)
     out = out.withColumns({name: bins.concat_cross(a, b) for name, (a, b) in LEVEL_PAIRS.items()})
     return cross_counts(store(out).df, *BLOCKS, **join_options)
@@ -98,12 +99,13 @@ def score_cross_features(
     all_ids: DataFrame,
     plan: DayPlan = DayPlan(),
     params: GBTParams = GBTParams(trees=200, depth=5, learning_rate=0.05, subsample=0.9, colsample=0.8),
+    patience: int | None = 200,
 ) -> DataFrame:
     """Scores for every id of ``all_ids``; ids dropped on the way get 0."""
     names = feature_columns(features)
     labelled, unlabelled = split_labelled(features)
     train = labelled.filter((F.col("day") >= plan.first) & (F.col("day") < plan.valid))
     valid = labelled.filter(F.col("day") == plan.valid)
-    scorer, _, _ = fit_gbt_early_stop(train, valid, names, params=params, refit_on=labelled)
+    scorer, _, _ = fit_gbt_early_stop(train, valid, names, params=params, refit_on=labelled, patience=patience)
     scores = predict_proba(scorer, unlabelled).select("instance_id", "predicted_score")
     return restore_rows(all_ids, scores)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywind.functions.lists import category_match_flags, list_number, predicted_category
-from tallywind.functions.time import hour_after, hour_before, with_clock
+from tallywind.functions.time import check_day_number, hour_after, hour_before, with_clock
 from tallywind.operators.clean import dedupe_by
 from tallywind.operators.encode import label_codes, to_category
 from tallywind.operators.history import (
@@ -28,7 +28,6 @@ from tallywind.storage import store
 
 RAW_LISTS = ["item_category_list", "item_property_list", "predict_category_property"]
 HELPERS = ["hour_before", "hour_after", "day", "context_timestamp", "context_id", "instance_id", "is_trade"]
-LIST_COLUMNS = CATEGORY_COLUMNS[16:]
 
 
 def list_features(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -44,7 +43,7 @@ def list_features(df: DataFrame, strict: bool = True) -> DataFrame:
 
     pieces = {f"item_category_list_{i + 1}": piece("item_category_list", i) for i in range(2)}
     pieces |= {f"item_property_list_{i}": piece("item_property_list", i) for i in range(3)}
-    pieces |= {f"predict_category_{i}": predicted_category("predict_category_property", i) for i in range(3)}
+    pieces |= {f"predict_category_{i}": predicted_category("predict_category_property", i, strict=strict) for i in range(3)}
     wide = df.withColumns(pieces)
     flags = category_match_flags(
         ["item_category_list_1", "item_category_list_2"], [f"predict_category_{i}" for i in range(3)]
@@ -53,15 +52,23 @@ def list_features(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def point_in_time_features(
-    raw: DataFrame, plan: DayPlan = DayPlan(), lists: bool = True, tz: str = "UTC", days: Sequence[int] = (1, 2, 3), **join_options
+    raw: DataFrame,
+    plan: DayPlan = DayPlan(),
+    lists: bool = True,
+    tz: str = "UTC",
+    days: Sequence[int] = (1, 2, 3),
+    day_number: str = "month",
+    **join_options,
 ) -> DataFrame:
     """The feature table of all label days of ``plan``, from one pass over the log per history table.
 
     Each history table is small next to the log (one row per key and label day) and is written once, which
-    gives the size its join is chosen by.
+    gives the size its join is chosen by. Logs that span months take ``day_number="index"``, with ``plan`` and all days
+    counted from 1970-01-01.
     """
-    log = with_clock(dedupe_by(raw, ["instance_id"], ["context_timestamp", "context_id"]), tz=tz)
+    log = with_clock(dedupe_by(raw, ["instance_id"], ["context_timestamp", "context_id"]), tz=tz, day_number=day_number)
     log = store(log).df
+    check_day_number(log, tz=tz, day_number=day_number)
     label_days = plan.label_days
 
     tables: list[tuple[DataFrame, list[str]]] = []
@@ -85,6 +92,7 @@ def score_point_in_time(
     plan: DayPlan = DayPlan(),
     params: GBTParams = GBTParams(trees=100, depth=2),
     categories: Sequence[str] = CATEGORY_COLUMNS,
+    patience: int | None = 50,
 ) -> tuple[Scorer, DataFrame, DataFrame]:
     """Early-stopped trees on the stacked label days, refitted with the validation day, scoring the test day.
 
@@ -95,6 +103,6 @@ def score_point_in_time(
     codes = label_codes(multi_day_training_set(features, plan)["train"], used)
     coded = multi_day_training_set(store(to_category(codes, features)).df, plan)
     names = [f"{c}_cat" if c in used else c for c in features.columns if c not in HELPERS]
-    fair, best, _ = fit_gbt_early_stop(coded["train"], coded["valid"], names, params=params)
+    fair, best, _ = fit_gbt_early_stop(coded["train"], coded["valid"], names, params=params, patience=patience)
     final = fit_gbt(coded["train"].unionByName(coded["valid"]), names, params=replace(params, trees=best))
     return final, predict_proba(fair, coded["valid"]), predict_proba(final, coded["test"])

@@ -1,7 +1,7 @@
 """A stand-in impression log over the star-schema test tables.
 
-Every event becomes one impression: its item, user and shop come from ``part``, ``customer`` and
-``supplier``, a conversion is a purchase. The last day carries no label. Every hundredth row is logged twice.
+Every event becomes one impression: its item and shop come from ``part`` and ``supplier``, its user from the event,
+a conversion is a purchase. The last day carries no label. Every hundredth row is logged twice.
 The same SQL gives the log to Spark and to the engine results are checked against; only the three
 expressions in ``SPARK`` and ``CHECKER`` differ.
 """

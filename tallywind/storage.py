@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _local_dirs: dict[str, str] = {}
@@ -30,21 +31,33 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Stored:
-    """A table whose rows are counted exactly, once, when its size is first asked for."""
+    """A table whose rows and bytes of text are counted exactly, once, when its size is first asked for."""
 
-    def __init__(self, df: DataFrame, rows: int | None = None):
+    def __init__(self, df: DataFrame, size: tuple[int, int] | None = None):
         self.df = df
-        self._rows = rows
+        self._size = size
+
+    def _measure(self) -> tuple[int, int]:
+        if self._size is None:
+            texts = [f.name for f in self.df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+            sums = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in texts]
+            rows, *lengths = self.df.agg(F.count(F.lit(1)), *sums).first() if texts else (self.df.count(),)
+            self._size = rows, sum(lengths)
+        return self._size
 
     @property
     def rows(self) -> int:
-        if self._rows is None:
-            self._rows = self.df.count()
-        return self._rows
+        return self._measure()[0]
+
+    @property
+    def text_bytes(self) -> int:
+        return self._measure()[1]
 
     @property
     def bytes(self) -> int:
-        return self.rows * sum(_width(field.dataType) for field in self.df.schema.fields)
+        """Bytes of the table in a broadcast: fixed widths, and texts as long as they are."""
+        rows, texts = self._measure()
+        return texts + rows * sum(_width(field.dataType) for field in self.df.schema.fields)
 
 
 def store(df: DataFrame) -> Stored:
@@ -75,7 +88,9 @@ def side_by_side(fn: Callable, items: Sequence) -> list:
 
 
 def _width(kind: T.DataType) -> int:
-    """Bytes a value takes in a broadcast row, strings taken at a generous fixed size."""
+    """Bytes a value takes in a broadcast row beside the bytes of a text; lists and vectors at a generous fixed size."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return 16
     if isinstance(kind, T.StructType):
         return 8 + sum(_width(field.dataType) for field in kind.fields)
     return 8 if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) else 64

@@ -51,9 +51,9 @@ def _(log):
     return splits.kfold(log.select("instance_id"))
 
 
-@log_case("hash_fold", on_log("select instance_id, 1 as in_range from log"))
+@log_case("hash_fold", on_log("select instance_id, cast(('0x' || substr(md5(cast(instance_id as varchar)), 1, 8))::bigint % 5 as int) as fold from log"))
 def _(log):
-    return splits.hash_fold(log).select("instance_id", F.col("fold").between(0, 4).cast("int").alias("in_range"))
+    return splits.hash_fold(log).select("instance_id", "fold")
 
 
 _SCALED = ["item_price_level", "item_sales_level", "user_age_level", "shop_score_service", "hour"]
@@ -114,6 +114,11 @@ def _(log):
     return evaluate.log_loss(smoothed_scores(log))
 
 
+@log_case("log_loss_unclipped", on_log(f"select round({_LOSS}, 6) as log_loss from scored", *_SCORED))
+def _(log):
+    return evaluate.log_loss(smoothed_scores(log), eps=None)
+
+
 @log_case("daily_log_loss", on_log(f"select day, round({_LOSS}, 6) as log_loss, count(*) as rows from scored group by 1", *_SCORED))
 def _(log):
     return evaluate.daily_log_loss(smoothed_scores(log))
@@ -207,20 +212,31 @@ def _(spark, sf):
     return ensembles.pca_scores(train, valid, params=SMALL, refit=True).select("instance_id", "predicted_score")
 
 
-@case("predict", on_log(f"select instance_id, 1 as is_class from log where day = {V}"))
+# One tree that is deep enough for the values of its only feature scores every value by its rows' mean label m:
+# 1 / (1 + exp(-2 (2 m - 1))).
+ONE_TREE = models.GBTParams(trees=1, depth=5)
+_BY_GENDER = f"""g as (select user_gender_id, 1 / (1 + exp(-2 * avg(2e0 * is_trade - 1))) as p from log where day < {V} group by 1)"""
+
+
+@case("predict", on_log(f"select instance_id, cast(p > 5e-1 as int) as prediction from log join g using (user_gender_id) where day = {V}", _BY_GENDER))
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    classes = models.predict(models.fit_gbt(train, BASELINE_FEATURES, params=SMALL), valid)
-    return classes.select("instance_id", F.col("prediction").isin(0, 1).cast("int").alias("is_class"))
+    return models.predict(models.fit_gbt(train, ["user_gender_id"], params=ONE_TREE), valid).select("instance_id", "prediction")
+
+
+@case("predict_proba", on_log("select instance_id, round(p, 6) as predicted_score from log join g using (user_gender_id)", _BY_GENDER))
+def _(spark, sf):
+    features = store(baseline.baseline_features(raw_log(spark, sf))).df
+    train, _ = splits.split_by_day(features.filter(F.col("is_trade").isNotNull()), V)
+    return models.predict_proba(models.fit_gbt(train, ["user_gender_id"], params=ONE_TREE), features).select("instance_id", "predicted_score")
 
 
-# Scores of all rows, each a probability.
-@case("predict_proba", on_log("select instance_id, 1 as is_probability from log"))
+# All gain is the only informative column's.
+@case("feature_importance_exact", "select * from (values ('user_gender_id', 1e0), ('is_constant', 0e0)) as t(n, s)")
 def _(spark, sf):
     train, _ = _parts(spark, sf)
-    features = baseline.baseline_features(raw_log(spark, sf))
-    scored = models.predict_proba(models.fit_gbt(train, BASELINE_FEATURES, params=SMALL), features)
-    return scored.select("instance_id", F.col("predicted_score").between(0, 1).cast("int").alias("is_probability"))
+    rows = train.withColumn("is_constant", F.lit(7))
+    return models.feature_importance(models.fit_gbt(rows, ["user_gender_id", "is_constant"], params=ONE_TREE), rows)
 
 
 @case("feature_importance")
@@ -272,7 +288,7 @@ def _(spark, sf):
 @case("score_point_in_time")
 def _(spark, sf):
     features = store(point_in_time.point_in_time_features(raw_log(spark, sf), PLAN)).df
-    _, _, test = point_in_time.score_point_in_time(features, PLAN, models.GBTParams(trees=5, depth=2))
+    _, _, test = point_in_time.score_point_in_time(features, PLAN, models.GBTParams(trees=5, depth=2), patience=None)
     return test.select("instance_id", "predicted_score")
 
 
@@ -283,5 +299,5 @@ def _(spark, sf):
     raw = raw_log(spark, sf)
     features = cross_features.cross_features(raw, PLAN)
     ids = raw.filter(F.col("is_trade").isNull()).select("instance_id").distinct()
-    scores = cross_features.score_cross_features(features, ids, PLAN, models.GBTParams(trees=3, depth=3))
+    scores = cross_features.score_cross_features(features, ids, PLAN, models.GBTParams(trees=3, depth=3), patience=None)
     return scores.select("instance_id", (F.col("predicted_score") > 0).cast("int").alias("scored"))

@@ -12,6 +12,7 @@ from tallywind.functions import bins, lists, time
 from tallywind.operators import aggregates, clean, evaluate, history, joins
 from tallywind.schema import LOG_SCHEMA
 from tallywind.sources import text
+from tallywind.storage import store
 
 
 def values(df, *cols):
@@ -174,6 +175,45 @@ def test_loss_of_certain_scores_and_ties_in_auc(spark):
     assert evaluate.roc_auc(wrong).first()[0] is None
 
 
+def test_unclipped_loss_keeps_the_worst_rows(spark):
+    def loss(*rows):
+        return evaluate.log_loss(spark.createDataFrame(list(rows), "is_trade int, predicted_score double"), eps=None).first()[0]
+
+    assert loss((1, 0.0), (0, 0.5)) == math.inf and loss((0, 1.0), (0, 0.5)) == math.inf
+    assert loss((1, 1.0), (0, 0.0), (1, 0.5)) == pytest.approx(-math.log(0.5) / 3)
+    assert loss((None, 0.3), (None, None), (1, 0.5)) == pytest.approx(-math.log(0.5))
+    for eps in (None, 1e-15):
+        missing = spark.createDataFrame([(1, None), (0, 0.5)], "is_trade int, predicted_score double")
+        with pytest.raises(Exception, match="predicted_score is null"):
+            evaluate.log_loss(missing, eps=eps).first()
+
+
+def test_days_grow_over_a_month_end(spark):
+    at = {31 + i: 1706659200 + 86400 * i for i in range(3)}  # 31 January and the two days after
+    rows = [(i, 7, i, 3, t) for i, t in enumerate([at[31] - 30 * 86400, at[31], at[32], at[33]])]
+    df = spark.createDataFrame(rows, "instance_id int, user_id int, item_id int, shop_id int, context_timestamp long")
+    with pytest.raises(ValueError, match="more than one month"):
+        time.check_day_number(df)
+    time.check_day_number(df, day_number="index")
+    log = time.with_clock(df, day_number="index")
+    first = log.agg(F.min("day")).first()[0]
+    counts = history.before_counts(log, first).orderBy("context_timestamp").collect()
+    assert [r["user_cntx"] for r in counts] == [None, 1, 2, 3]
+    assert [r["user_cnt1"] for r in counts] == [None, 0, 1, 1]
+
+
+def test_predicted_category_may_be_lenient(spark):
+    df = spark.createDataFrame([("5:1;x:2",), ("-1",), (None,)], "p string")
+    assert [r[0] for r in df.select(lists.predicted_category("p", 1, strict=False)).collect()] == [-1, -1, -1]
+    with pytest.raises(Exception, match="CAST"):
+        df.select(lists.predicted_category("p", 1)).collect()
+
+
+def test_long_text_keys_count_by_their_length(spark):
+    keys = spark.range(3000).selectExpr("concat(repeat('k', 1000), id) as k", "id as v")
+    assert store(keys).bytes > 3000 * 1000
+
+
 def test_concat_cross_collides_and_rejects_negative_seconds(spark):
     df = spark.createDataFrame([(1, 12), (11, 2), (1, -1)], "a int, b int")
     assert [r[0] for r in df.select(bins.concat_cross("a", "b")).collect()] == [112, 112, None]
