@@ -65,7 +65,29 @@ def quality_rules(spark, sf_dir):
     return rules.judge(docs, rules.ordered_rules(docs)).select("doc_id", *rules.BASE, F.col("base_failed"), F.col("kept"))
 
 
-@query("op3_ngram_jaccard_join")
+JOIN_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents),
+s as (
+  select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+         else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as ss
+  from w),
+e as (
+  select doc_id, unnest(ss) as x from s),
+o as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from e a join e b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+l as (
+  select o.a, o.b from o join s sa on sa.doc_id = o.a join s sb on sb.doc_id = o.b where 100 * n >= 75 * (len(sa.ss) + len(sb.ss) - n)),
+both_ways as (
+  select a, b from l union select b, a from l),
+r(doc_id, c) as (
+  select doc_id, doc_id from s union select t.b, r.c from r join both_ways t on r.doc_id = t.a)
+select s.doc_id, len(s.ss) as n_shingles, min(r.c) as component_id from s join r on r.doc_id = s.doc_id group by 1, 2
+"""
+
+
+@query("op3_ngram_jaccard_join", JOIN_SQL)
 def ngram_jaccard_join(spark, sf_dir):
     return ngram_join.similarity_groups(table(spark, sf_dir, "documents"))
 
