@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tallywind.llm import decontam, html_layout, langid, lm, ngram_join, packing, paragraph_dedup, rules, secrets, url_lists
@@ -105,7 +107,91 @@ def best_fit_packing(spark, sf_dir):
     return packing.pack_texts(docs, vocabulary())
 
 
-@query("op5_secret_scans")
+_ALPHABETS = " ".join(f"when regexp_full_match(core, '[{a.replace('-', chr(92) + '-')}]+') then '{a}'" for a in secrets.ALPHABETS.values())
+_TAIL = """case when {z} >= 0 then exp(-{z} * {z} / 2) * 0.3989422804014327 * {poly} else 1 - exp(-{z} * {z} / 2) * 0.3989422804014327 * {poly} end"""
+_POLY = "{t} * (0.319381530 + {t} * (-0.356563782 + {t} * (1.781477937 + {t} * (-1.821255978 + {t} * 1.330274429))))"
+
+
+def _tail(z: str) -> str:
+    """SQL of ``secrets.normal_tail``."""
+    return _TAIL.format(z=z, poly="(" + _POLY.format(t=f"(1e0 / (1e0 + 0.2316419 * abs({z})))") + ")")
+
+
+# Either case letter by letter: this engine's own folding goes beyond ASCII.
+_KEYS = re.search(r"\(\?i:([^)]*)\)", secrets.ASSIGN)
+_EITHER = secrets.ASSIGN.replace(_KEYS[0], "(?:" + "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in _KEYS[1]) + ")")
+_QUOTED = {"assign": _EITHER.replace("'", "''"), "access": secrets.ACCESS, "hex": secrets.HEX, "random": secrets.RANDOM}
+SECRETS_SQL = rf"""
+with d as (
+  select doc_id, replace(replace(coalesce(text, ''), chr(57344), chr(57346)), chr(57345), chr(57346)) as t from documents),
+k(kind, rank, pattern) as (
+  values ('assign', 0, '{_QUOTED["assign"]}'), ('access', 1, '{_QUOTED["access"]}'), ('hex', 2, '{_QUOTED["hex"]}'), ('random', 3, '{_QUOTED["random"]}')),
+m as (
+  select doc_id, kind, rank, string_split_regex(regexp_replace(t, '(' || pattern || ')', chr(57344) || '\1' || chr(57345), 'g'), '[' || chr(57344) || chr(57345) || ']') as parts
+  from d cross join k),
+p as (
+  select doc_id, kind, rank, unnest(parts) as part, generate_subscripts(parts, 1) as i from m where len(parts) > 1),
+q as (
+  select *, sum(length(part)) over (partition by doc_id, kind order by i) as stop from p),
+sp as (
+  select doc_id, kind, rank, part, cast(stop - length(part) as bigint) as start, cast(stop as bigint) as stop from q where i % 2 = 0),
+base as (
+  select doc_id, kind, rank, start, stop from sp
+  where kind in ('access', 'hex') or kind = 'assign' and length(regexp_extract(part, '{_QUOTED["assign"]}', 2)) >= {secrets.ASSIGN_VALUE}),
+c as (
+  select doc_id, start, stop, regexp_replace(part, '=+', '', 'g') as core from sp
+  where kind = 'random' and regexp_matches(part, '[0-9]') and regexp_matches(part, '[A-Za-z]')),
+a as (
+  select *, case {_ALPHABETS} end as alphabet, string_split(core, '') as ch from c),
+b as (
+  select *, len(ch) as n, length(alphabet) as k, list_transform(ch, lambda x: instr(alphabet, x)::double) as codes,
+         list_transform(ch, lambda x: case when x between '0' and '9' then 1 when x between 'a' and 'z' then 2 when x between 'A' and 'Z' then 3 else 0 end) as kinds,
+         list_sum(list_transform(list_distinct(ch), lambda x: pow(length(core) - length(replace(core, x, '')), 2))) as squares
+  from a where alphabet is not null and len(ch) > 2),
+e as (
+  select *, list_sum(codes) / n as mean, list_sum(list_transform(codes, lambda x: (2 * x > k)::double)) as upper,
+         list_sum(list_transform(range(1, n), lambda i: ((2 * codes[i] > k) <> (2 * codes[i + 1] > k))::double)) as turns,
+         list_sum(list_transform(range(1, n), lambda i: (kinds[i] <> kinds[i + 1] and kinds[i] > 0 and kinds[i + 1] > 0)::double)) as changes
+  from b),
+f as (
+  select *, list_sum(list_transform(codes, lambda x: (x - mean) * (x - mean))) as spread,
+         list_sum(list_transform(range(1, n), lambda i: (codes[i] - mean) * (codes[i + 1] - mean))) as carried, 2 * upper * (n - upper) / n + 1 as expected
+  from e),
+g as (
+  select *, (k * squares / n - n - (k - 1)) / sqrt(2e0 * (k - 1) * (n - 1) / n) as z1,
+         (turns + 1 - expected) / sqrt(greatest((expected - 1) * (expected - 2) / (n - 1), 1e-6)) as z2,
+         case when spread > 0 then (carried / spread + 1e0 / n) * sqrt(n) else 99e0 end as z3,
+         (changes - 0.5 - {secrets.TEXT_CHANGES} * (n - 1)) / sqrt({secrets.TEXT_CHANGES * (1 - secrets.TEXT_CHANGES)!r} * (n - 1)) as z4
+  from f),
+h as (
+  select *, greatest(abs(z1), abs(z2), abs(z3)) as z0 from g),
+r as (
+  select doc_id, start, stop, least(1e0, 6 * ({_tail("z0")})) as p_random, cast(floor(-10 * log10(greatest({_tail("z4")}, 1e-30))) as int) as level,
+         cast(floor(log2(n)) as int) as size_class
+  from h),
+v as (
+  select size_class, level, sum(count(*)) over (partition by size_class) as total, sum(count(*)) over (partition by size_class order by level desc) as above
+  from r group by 1, 2),
+w as (
+  select size_class, min(level) as least_level from v where total * pow(10, -level / 10e0) <= {secrets.FDR} * above group by 1),
+found as (
+  select doc_id, 'random' as kind, 3 as rank, start, stop from r join w using (size_class)
+  where p_random >= {secrets.ACCEPT} and level >= least_level
+    and not exists (select 1 from base where base.doc_id = r.doc_id and base.start < r.stop and r.start < base.stop)),
+al as (
+  select * from base union all select * from found),
+t as (
+  select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) filter (kind <> 'random') as digest,
+         string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) as spans
+  from al group by 1)
+select documents.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(digest, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join t on t.doc_id = documents.doc_id
+"""
+
+
+@query("op5_secret_scans", SECRETS_SQL)
 def secret_scans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs, secrets.discovery_levels(docs)).drop("text", "secret_spans")

@@ -5,11 +5,14 @@ import hashlib
 import random
 import re
 
+import duckdb
+import pandas as pd
 from conftest import SF_DIR
 from llm_fixtures import _importable, frame, hostile, nothing  # noqa: F401
 from pyspark.sql import functions as F
 
 from tallywind.llm import secrets as S
+from tallywind.llm.queries import SECRETS_SQL
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -55,6 +58,19 @@ def test_the_battery_adds_random_tokens_and_leaves_words(spark, frame):
     assert not [i for i in range(40, 440) if "random" in rows[i]]
 
 
+def test_sql_says_the_same(frame):
+    rng = random.Random(8)
+    texts = crafted(7, 200) + [f"some words {base64.b64encode(rng.randbytes(36)).decode()} and more" for _ in range(20)] + ["see best-offers-of-the-year-2024"] * 100
+    docs = frame(texts)
+    rows = S.scan(docs, S.discovery_levels(docs)).drop("text", "secret_spans").collect()
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    db = duckdb.connect()
+    db.register("documents", documents)
+    want = sorted(db.execute(f"select doc_id, n_assign, n_access, n_hex, base_sha256, spans from ({SECRETS_SQL})").fetchall())
+    assert sorted(tuple(r) for r in rows) == want
+    assert any("random" in r["spans"] for r in rows)
+
+
 def test_native_plan(spark):
     docs = spark.read.parquet(SF_DIR + "/documents.parquet")
     text = S.scan(docs, {5: 30})._jdf.queryExecution().executedPlan().toString()
