@@ -74,7 +74,7 @@ def frequent_columns(docs: DataFrame, text: str, size: int = SIZE, most: int = F
 
         def flush():
             s, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= 3
+            often = times >= 2
             return pa.RecordBatch.from_arrays([pa.array(s[often].view(np.int64)), pa.array(times[often])], schema=target)
 
         for batch in batches:
