@@ -49,32 +49,54 @@ def tuned_bands(similarity: float, recall: float = RECALL, hashes: int = HASHES)
     return hashes, 1
 
 
-def paragraph_sets(piece: X.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(row, first word, words, shingle set) of the paragraphs of a slice."""
+class FlatSets:
+    """Sets end to end, each sorted."""
+
+    def __init__(self, flat: np.ndarray, bounds: np.ndarray):
+        self.flat, self.bounds = flat, bounds
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.flat[self.bounds[i] : self.bounds[i + 1]]
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.bounds)
+
+
+def paragraph_sets(piece: X.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, FlatSets]:
+    """(row, first word, words, shingle sets) of the paragraphs of a slice."""
     found = X.words(piece)
     hashes = X.span_hashes(piece.data, found, fold=True)
     spans = X.lines(piece)
     first, last = np.searchsorted(found.start, spans.start), np.searchsorted(found.start, spans.end)
     keep = last - first >= MIN_WORDS
     first, last, row = first[keep], last[keep], spans.row[keep]
-    sets = []
-    if len(first):
-        windows, _, _ = X.windows(hashes, np.array([0, len(hashes)]), SHINGLE, whole_if_shorter=False)
-        sets = [np.unique(windows[a : b - SHINGLE + 1]) for a, b in zip(first, last, strict=True)]
+    windows, _, _ = X.windows(hashes, np.array([0, len(hashes)]), SHINGLE, whole_if_shorter=False)
+    counts = last - first - SHINGLE + 1
+    line = np.repeat(np.arange(len(first)), counts)
+    at = np.repeat(first - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(len(line)) if len(first) else np.zeros(0, dtype=np.int64)
+    h = windows[at]
+    order = np.lexsort((h, line))
+    h, line = h[order], line[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    sets = FlatSets(h[new], np.searchsorted(line[new], np.arange(len(first) + 1)))
     return row, first - found.bounds[row], last - first, sets
 
 
-def _nodes(sets: list[np.ndarray]) -> np.ndarray:
-    return np.array([J.identity(s) for s in sets], dtype=np.int64)
+def _nodes(sets: FlatSets) -> np.ndarray:
+    return J.identities(sets.flat, sets.bounds)
 
 
-def _bands(sets: list[np.ndarray], bands: int, rows: int) -> list[np.ndarray]:
-    """The band keys of every set."""
-    if not sets:
+def _bands(sets: FlatSets, bands: int, rows: int) -> list[np.ndarray]:
+    """The band keys of every set: least values under multiplications of the (well mixed) shingle hashes."""
+    if not len(sets):
         return []
-    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    flat = np.concatenate(sets)
-    least = np.stack([np.minimum.reduceat(X.mix(flat ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64))), bounds) for i in range(bands * rows)], axis=1)
+    factors = X.mix(np.arange(1, 2 * bands * rows + 1, dtype=np.uint64)).reshape(-1, 2) | np.uint64(1)
+    least = np.stack([np.minimum.reduceat((sets.flat ^ a) * b, sets.bounds[:-1]) for a, b in factors], axis=1)
     keys = np.zeros((len(sets), bands), dtype=np.uint64)
     for r in range(rows):
         keys = keys * np.uint64(0xC2B2AE3D27D4EB4F) + least[:, r::rows]
@@ -105,7 +127,7 @@ def paragraphs(rows: DataFrame, bands: int, per_band: int) -> DataFrame:
                 "start": start,
                 "words": words,
                 "node": _nodes(sets),
-                "n": np.array([len(s) for s in sets], dtype=np.int64),
+                "n": sets.sizes,
                 "bands": X.list_array(_bands(sets, bands, per_band), pa.int64()),
             }
 
@@ -127,6 +149,17 @@ def _shared_entries(items: DataFrame, key: str, of: str) -> DataFrame:
     return items.mapInArrow(likely, items.schema).join(held, key, "left_semi")
 
 
+def _shared_shingles(nodes: DataFrame, texts: DataFrame, rows_of) -> DataFrame:
+    """(node, shared): how many shingles of each paragraph any other of ``nodes`` has too, which bounds every overlap.
+
+    Copies that differ from a common source by as much as keeps them from linking with it have too many of their own.
+    """
+    rows = J.whole_rows(store(nodes).df, texts, "text", rows_of)
+    each = store(rows.select("node", F.explode("row").alias("h"))).df
+    held = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("h")
+    return each.join(held, "h", "left_semi").groupBy("node").agg(F.count("*").alias("shared"))
+
+
 def near_paragraphs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(row, doc, start, words, cluster) of the paragraphs in clusters over two rows or more."""
     bands, per_band = tuned_bands(percent / 100)
@@ -136,18 +169,18 @@ def near_paragraphs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     entries = store(entries).df
     texts = rows.select("text")
 
-    def rows_of(piece: X.Slice) -> tuple[np.ndarray, list[np.ndarray]]:
+    def rows_of(piece: X.Slice) -> tuple[np.ndarray, FlatSets]:
         sets = paragraph_sets(piece)[3]
         return _nodes(sets), sets
 
-    tried = store(J.pivot_pairs(entries, percent).select("a", "b")).df
-    links = store(J.exact_links(tried, texts, "text", rows_of, percent)).df
-    labels = components(links)
-    met = J.cross_pairs(J.with_components(entries, labels)).where(J.reachable(percent, F.col("xn"), F.col("n"), F.least("xn", "n")))
-    left = met.select(F.least("xnode", "node").alias("a"), F.greatest("xnode", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    left = store(left).df
-    if not left.isEmpty():
-        labels = components(links.union(J.exact_links(left, texts, "text", rows_of, percent)))
+    def remaining(labelled: DataFrame, percent: int) -> DataFrame:
+        mixed = J.mixed_columns(labelled)
+        open_ = mixed.select("node").distinct()
+        mixed = store(mixed.join(_shared_shingles(open_, texts, rows_of), "node")).df
+        met = J.cross_pairs(mixed, J.reachable(percent, F.col("xn"), F.col("n"), F.least("xshared", "shared")))
+        return met.select(F.least("xnode", "node").alias("a"), F.greatest("xnode", "node").alias("b")).distinct()
+
+    labels = J.components_by_pivots(entries, percent, lambda pairs: J.exact_links(pairs, texts, "text", rows_of, percent), remaining)
     named = made.select("row", "doc", "start", "words", "node").join(labels, "node", "left")
     named = named.select("row", "doc", "start", "words", F.coalesce("comp", "node").alias("cluster"))
     spread = named.groupBy("cluster").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo <> hi").select("cluster")
@@ -182,6 +215,12 @@ def winnowed(piece: X.Slice, passage: int = PASSAGE, reach: int = REACH) -> tupl
     return row[at], first[at] - found.bounds[row[at]], h[at]
 
 
+def _first_of_each(row: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places of the first unit of each hash in each text: a text that says one thing over and over says it once."""
+    keyed = X.mix(h ^ (row.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)))
+    return np.sort(np.unique(keyed, return_index=True)[1])
+
+
 def repeated_passages(rows: DataFrame) -> DataFrame:
     """(row, doc, start, words, cluster, first_row): merged spans of the units that two rows or more hold."""
     schema = T.StructType(
@@ -191,6 +230,8 @@ def repeated_passages(rows: DataFrame) -> DataFrame:
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in X.slices(batch.column("text")):
             row, start, h = winnowed(piece)
+            once = _first_of_each(row, h)
+            row, start, h = row[once], start[once], h[once]
             of = pa.array(row + piece.first)
             yield {"row": batch.column("row").take(of), "doc": batch.column("doc").take(of), "start": start, "h": h.view(np.int64)}
 
