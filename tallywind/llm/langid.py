@@ -32,7 +32,7 @@ UNKNOWN = "und"
 #: Texts of each language that the trees are grown from: a bounded sample, whole texts.
 SAMPLE_DOCS = 800
 PARTS = 64
-CACHE_SLOTS = 1 << 20
+CACHE_SLOTS = 1 << 19
 
 
 def _folding() -> np.ndarray:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # The bytes that separate words.
 WHITE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
