@@ -129,10 +129,10 @@ def test_plans_score_every_row(spark):
     features = store(baseline.baseline_features(raw)).df
     assert baseline.score_baseline(features, PLAN, online=False, params=small).count() == features.filter(F.col("day") == PLAN.valid).count()
     table = store(point_in_time.point_in_time_features(raw, PLAN)).df
-    _, valid, test = point_in_time.score_point_in_time(table, PLAN, small)
+    _, valid, test = point_in_time.score_point_in_time(table, PLAN, small, patience=2)
     assert valid.count() == table.filter(F.col("day") == PLAN.valid).count()
     assert test.count() == table.filter(F.col("day") == PLAN.test).count()
     crossed = store(cross_features.cross_features(raw, PLAN)).df
     ids = raw.filter("is_trade is null").select("instance_id").distinct()
-    scores = cross_features.score_cross_features(crossed, ids, PLAN, small)
+    scores = cross_features.score_cross_features(crossed, ids, PLAN, small, patience=2)
     assert scores.count() == ids.count() and scores.filter("predicted_score is null").count() == 0
