@@ -5,8 +5,15 @@ typed placeholders whose values are kept as slots; what is left is a template. W
 are hashed and joined between texts and benchmark items, so a question with other numbers and names still meets. A
 match counts if the slots agree: each value of the item must stand for one value of the text wherever the windows met.
 
-A text holds an item if at least half of the item's windows, or ``RUN`` of them, are met and at least half of the item's
-slot values are consistent. Windows with fewer than three plain words say too little and are not used.
+Windows are made in four ways, which meet only their own kind. ``EACH`` has a placeholder for every name, number and unit.
+``RUNS`` has one placeholder for a run of names or of numbers, number words among them, whose slot value is the whole
+run, so "Alice" meets "Mary Ann Lee" and "12" meets "twenty five". Names are known by their capitals, which a copy in
+capitals or small letters does not have: ``NUMBERS`` is ``RUNS`` with names left as words, ``WORDS`` has no placeholders.
+Case is folded for all letters.
+
+A text holds an item if in one of the ways at least half of the item's windows, or ``RUN`` of them, are met and at least
+half of the item's slot values are consistent; the first such way gives the counts. Windows with fewer than three plain
+words (in ``WORDS``: words that are no numbers) say too little and are not used.
 
 The windows of the benchmark reach the texts' side as a filter of fixed size; matches are then joined by hash.
 
@@ -40,62 +47,129 @@ UNITS = (
     "hour hours day days week weeks month months year years dollar dollars cent cents euro euros percent degree degrees watt watts volt volts mph kmh"
 ).split()
 
+# Words read as numbers in runs, with "twentyone" to "ninetynine" as hyphens are dropped.
+ONES = "one two three four five six seven eight nine".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+TEENS = "zero ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen hundred thousand million billion trillion dozen".split()
+NUMBER_WORDS = ONES + TENS + TEENS + [t + o for t in TENS for o in ONES]
+
 PLAIN, NUMBER, UNIT, NAME = range(4)
+EACH, RUNS, NUMBERS, WORDS = range(4)
 
 _CORE = X.table_of(bytes(range(48, 58)) + bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
 _DIGIT = X.table_of(b"0123456789")
-_CAPITAL = X.table_of(bytes(range(65, 91)))
-_SMALL = X.table_of(bytes(range(97, 123)) + bytes(range(128, 256)))
 _STOP = X.table_of(b".!?:")
+# All letters with case lie below this code point.
+_CASED = 0x1E944
+_CAPITAL = np.array([chr(c).isupper() or chr(c).istitle() for c in range(_CASED)])
+_SMALL = np.array([chr(c).islower() for c in range(_CASED)])
 
 
-def _unit_hashes() -> np.ndarray:
-    data = np.frombuffer("".join(UNITS).encode(), dtype=np.uint8)
-    ends = np.cumsum([len(u) for u in UNITS])
-    spans = X.Spans(np.concatenate([[0], ends[:-1]]), ends, np.array([0, len(UNITS)]))
+def _word_hashes(known: list[str]) -> np.ndarray:
+    data = np.frombuffer("".join(known).encode(), dtype=np.uint8)
+    ends = np.cumsum([len(u) for u in known])
+    spans = X.Spans(np.concatenate([[0], ends[:-1]]), ends, np.array([0, len(known)]))
     return np.sort(X.span_hashes(data, spans, fold=True))
 
 
+def letters(data: np.ndarray) -> np.ndarray:
+    """The code point that starts at each byte; 0 at bytes inside a letter, and for all points without case beyond the last with it."""
+    point = np.where(data < 128, data, 0).astype(np.int64)
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        byte = [data[np.minimum(lead + i, len(data) - 1)].astype(np.int64) for i in range(4)]
+        rest = [b & 0x3F for b in byte]
+        two, three = (byte[0] & 0x1F) << 6 | rest[1], (byte[0] & 0x0F) << 12 | rest[1] << 6 | rest[2]
+        four = (byte[0] & 0x07) << 18 | rest[1] << 12 | rest[2] << 6 | rest[3]
+        found = np.where(byte[0] < 0xE0, two, np.where(byte[0] < 0xF0, three, four))
+        point[lead] = np.where(found < _CASED, found, 0)
+    return point
+
+
+def folded(piece: X.Slice) -> X.Slice:
+    """The slice with the case of all letters folded: the same words in the same order, maybe of other lengths."""
+    if not len(piece.data) or piece.data.max() < 128:
+        return piece
+    rows = []
+    for r in range(piece.rows):
+        raw = piece.data[piece.offsets[r] : piece.offsets[r + 1]].tobytes()
+        rows.append(raw if raw.isascii() else raw.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape"))
+    return X.Slice(piece.first, np.frombuffer(b"".join(rows), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
+
+
 class Templates:
     """Template words of a slice: their hashes, kinds, slot values and bounds per row."""
 
     def __init__(self, piece: X.Slice):
         data = piece.data
         found = X.words(piece)
-        kept = np.concatenate([[0], np.cumsum(_CORE[data])])
-        core = X.Spans(kept[found.start], kept[found.end], found.bounds)
-        value = X.span_hashes(data[_CORE[data]], core, fold=True)
-        has = lambda table: _counts(table, data, found) > 0
+        plain = folded(piece)
+        same = X.words(plain)
+        kept = np.concatenate([[0], np.cumsum(_CORE[plain.data])])
+        core = X.Spans(kept[same.start], kept[same.end], same.bounds)
+        value = X.span_hashes(plain.data[_CORE[plain.data]], core, fold=True)
+        has = lambda table: _counts(table[data], found) > 0
         spoken = core.end > core.start
         number = has(_DIGIT)
-        first = _CAPITAL[data[found.start]] if len(found.start) else np.zeros(0, dtype=bool)
-        if len(data) > 1 and len(found.start):
-            after = data[np.minimum(found.start + 1, len(data) - 1)]
-            first |= (data[found.start] == 0xC3) & (after >= 0x80) & (after <= 0x9E)
+        point = letters(data)
+        first = _CAPITAL[point[found.start]]
         starts = np.zeros(len(found.start), dtype=bool)
         starts[found.bounds[:-1][found.counts > 0]] = True
+        joined = np.zeros(len(found.start), dtype=bool)  # nothing but a space stands before the word
         if len(found.start):
-            starts[1:] |= _counts(_STOP, data, X.Spans(found.end - 1, found.end, found.bounds))[:-1] > 0
+            starts[1:] |= _STOP[data[found.end - 1]][:-1]
             broken = np.concatenate([[0], np.cumsum(data == 10)])
             starts[1:] |= broken[found.start[1:]] > broken[found.end[:-1]]
-        name = first & ~starts & has(_SMALL) & ~number
-        kind = np.where(number, NUMBER, np.where(name, NAME, PLAIN))[spoken]
-        value = value[spoken]
-        bounds = np.concatenate([[0], np.cumsum(spoken)])[found.bounds]
+            joined[1:] = _CORE[data[found.end - 1]][:-1] & _CORE[data[found.start]][1:]
+            joined[found.bounds[:-1][found.counts > 0]] = False
+        name = first & ~starts & (_counts(_SMALL[point], found) > 0) & ~number
+        self.value = value[spoken]
+        self.joined = joined[spoken]
+        self.bounds = np.concatenate([[0], np.cumsum(spoken)])[found.bounds]
+        self.number, self.name = number[spoken], name[spoken]
+
+    def _kinds(self, number: np.ndarray, name: np.ndarray) -> np.ndarray:
+        kind = np.where(number, NUMBER, np.where(name, NAME, PLAIN))
         after_number = np.zeros(len(kind), dtype=bool)
         after_number[1:] = kind[:-1] == NUMBER
-        after_number[bounds[:-1][np.diff(bounds) > 0]] = False
-        kind[after_number & (kind != NUMBER) & np.isin(value, _UNIT_HASHES)] = UNIT
-        self.kind, self.value, self.bounds = kind, value, bounds
+        after_number[self.bounds[:-1][np.diff(self.bounds) > 0]] = False
+        kind[after_number & (kind != NUMBER) & np.isin(self.value, _UNIT_HASHES)] = UNIT
+        return kind
+
+    def way(self, way: int) -> Template:
+        """The template words in one of the ways."""
+        nothing = np.zeros(len(self.value), dtype=bool)
+        if way == WORDS:
+            return Template(np.full(len(self.value), PLAIN), self.value, self.bounds, way, ~self.number)
+        if way == EACH:
+            kind = self._kinds(self.number, self.name)
+            return Template(kind, self.value, self.bounds, way, kind == PLAIN)
+        number = self.number | np.isin(self.value, _NUMBER_HASHES)
+        kind = self._kinds(number, self.name & ~number if way == RUNS else nothing)
+        goes_on = np.zeros(len(kind), dtype=bool)
+        goes_on[1:] = (kind[1:] == kind[:-1]) & ((kind[1:] == NUMBER) | (kind[1:] == NAME)) & self.joined[1:]
+        heads = np.flatnonzero(~goes_on)
+        lengths = np.diff(np.append(heads, len(kind)))
+        within = (np.arange(len(kind)) - np.repeat(heads, lengths)).astype(np.uint64)
+        placed = X.mix(self.value + within * np.uint64(0x9FB21C651E98DF25))
+        whole = X.mix(np.add.reduceat(placed, heads)) if len(heads) else placed
+        return Template(kind[heads], whole, np.searchsorted(heads, self.bounds), way, kind[heads] == PLAIN)
+
+
+class Template:
+    """Template words in one of the ways."""
+
+    def __init__(self, kind: np.ndarray, value: np.ndarray, bounds: np.ndarray, way: int, plain: np.ndarray):
+        self.kind, self.value, self.bounds, self.way, self.plain = kind, value, bounds, way, plain
         self.hash = np.where(kind == PLAIN, value, X.mix(kind.astype(np.uint64)))
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, first word, row) of the windows with enough plain words."""
         h, first, bounds = X.windows(self.hash, self.bounds, WINDOW, whole_if_shorter=False)
         row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        plain = np.concatenate([[0], np.cumsum(self.kind == PLAIN)])
+        plain = np.concatenate([[0], np.cumsum(self.plain)])
         enough = plain[first + WINDOW] - plain[first] >= PLAIN_WORDS
-        return h[enough], first[enough], row[enough]
+        return X.mix(h[enough] + np.uint64(self.way)), first[enough], row[enough]
 
     def slots(self, first: int) -> list[dict]:
         """The slots of one window: kind and value."""
@@ -103,79 +177,88 @@ class Templates:
         return [{"kind": int(self.kind[i]), "value": int(self.value[i].view(np.int64))} for i in at]
 
 
-def _counts(table: np.ndarray, data: np.ndarray, spans: X.Spans) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(table[data])])
+def _counts(member: np.ndarray, spans: X.Spans) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(member)])
     return total[spans.end] - total[spans.start]
 
 
-_UNIT_HASHES = _unit_hashes()
+_UNIT_HASHES = _word_hashes(UNITS)
+_NUMBER_HASHES = _word_hashes(NUMBER_WORDS)
 
 _SLOTS = T.ArrayType(T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("value", T.LongType())]))
 _ARROW_SLOTS = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.int64())]))
 
 
-def template_windows(df: DataFrame, key: str, text: str, only: np.ndarray | None = None) -> DataFrame:
-    """(key, pos, h, slots, windows, same): the template windows of every text, or those that ``only`` may hold.
+def template_windows(df: DataFrame, key: str, text: str, only: np.ndarray | None = None, ways: tuple[int, ...] = (EACH,)) -> DataFrame:
+    """(key, way, pos, h, slots, windows, same): the windows of every text in ``ways``, or those that ``only`` may hold.
 
-    ``same`` is a hash of the whole text's words, slots filled.
+    ``pos`` counts template words of the way. ``same`` is a hash of the whole text's words, slots filled.
     """
     bits = shared(df.sparkSession, only) if only is not None else None
-    fields = [("pos", T.LongType()), ("h", T.LongType()), ("slots", _SLOTS), ("windows", T.LongType()), ("same", T.LongType())]
+    fields = [("way", T.IntegerType()), ("pos", T.LongType()), ("h", T.LongType()), ("slots", _SLOTS), ("windows", T.LongType()), ("same", T.LongType())]
     schema = T.StructType([T.StructField("key", df.schema[key].dataType)] + [T.StructField(n, t) for n, t in fields])
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in X.slices(batch.column(1)):
-            made = Templates(piece)
-            h, first, row = made.windows()
-            total = np.bincount(row, minlength=piece.rows)
-            keep = np.flatnonzero(may_hold(bits.value, h)) if bits is not None else np.arange(len(h))
-            if not len(keep):
-                continue
-            same = np.zeros(piece.rows, dtype=np.int64)
-            for r in np.unique(row[keep]):
-                words = made.value[made.bounds[r] : made.bounds[r + 1]]
-                same[r] = X.windows(words, np.array([0, len(words)]), len(words), whole_if_shorter=True)[0].view(np.int64)[0] if bits is None else 0
-            yield {
-                "key": batch.column(0).take(pa.array(row[keep] + piece.first)),
-                "pos": first[keep] - made.bounds[row[keep]],
-                "h": h[keep].view(np.int64),
-                "slots": pa.array([made.slots(i) for i in first[keep]], _ARROW_SLOTS),
-                "windows": total[row[keep]],
-                "same": same[row[keep]],
-            }
+            templates = Templates(piece)
+            for way in ways:
+                made = templates.way(way)
+                h, first, row = made.windows()
+                total = np.bincount(row, minlength=piece.rows)
+                keep = np.flatnonzero(may_hold(bits.value, h)) if bits is not None else np.arange(len(h))
+                if not len(keep):
+                    continue
+                same = np.zeros(piece.rows, dtype=np.int64)
+                for r in np.unique(row[keep]) if bits is None else ():
+                    words = templates.value[templates.bounds[r] : templates.bounds[r + 1]]
+                    same[r] = X.windows(words, np.array([0, len(words)]), len(words), whole_if_shorter=True)[0].view(np.int64)[0]
+                yield {
+                    "key": batch.column(0).take(pa.array(row[keep] + piece.first)),
+                    "way": np.full(len(keep), way, dtype=np.int32),
+                    "pos": first[keep] - made.bounds[row[keep]],
+                    "h": h[keep].view(np.int64),
+                    "slots": pa.array([made.slots(i) for i in first[keep]] if way != WORDS else [[]] * len(keep), _ARROW_SLOTS),
+                    "windows": total[row[keep]],
+                    "same": same[row[keep]],
+                }
 
     return X.map_batches(df.select(key, text), cut, schema)
 
 
 def held_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per text and item it holds: doc_id, item_id, windows_met, windows_of_item, slots, slots_consistent, slots_changed."""
-    sought = store(template_windows(items, item_id, item_text)).df
+    ways = (EACH, RUNS, NUMBERS, WORDS)
+    sought = store(template_windows(items, item_id, item_text, ways=ways)).df
     named = sought.groupBy("same").agg(F.min("key").alias("item"))
     sought = sought.join(named, "same").where(F.col("key").eqNullSafe(F.col("item")))
-    sought = store(sought.select("h", "item", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("windows").alias("of_item")).dropDuplicates(["h", "item", "item_pos"])).df
+    sought = store(sought.select("h", "item", "way", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("windows").alias("of_item")).dropDuplicates(["h", "item", "item_pos"])).df
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     rows = rows.withColumn("key", F.struct("row", "doc"))
-    found = template_windows(rows, "key", "text", key_filter(sought, "h"))
+    found = template_windows(rows, "key", "text", key_filter(sought, "h", 27), ways)
     met = store(found.select("key", "pos", "h", "slots").join(sought, "h")).df
-    counted = met.select("key", "item", "item_pos", "of_item").distinct().groupBy("key", "item").agg(F.count("*").alias("met"), F.first("of_item").alias("of_item"))
-    pairs = met.select("key", "item", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
-    pairs = pairs.select("key", "item", F.col("z.item_slots").alias("theirs"), F.col("z.slots").alias("ours")).distinct()
-    values = pairs.groupBy("key", "item", "theirs").agg(F.count("*").alias("n"), F.max((F.col("theirs") != F.col("ours")).cast("int")).alias("changed"))
-    slots = values.groupBy("key", "item").agg(
+    by = ["key", "item", "way"]
+    counted = met.select(*by, "item_pos", "of_item").distinct().groupBy(*by).agg(F.count("*").alias("met"), F.first("of_item").alias("of_item"))
+    pairs = met.select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
+    pairs = pairs.select(*by, F.col("z.item_slots").alias("theirs"), F.col("z.slots").alias("ours")).distinct()
+    values = pairs.groupBy(*by, "theirs").agg(F.count("*").alias("n"), F.max((F.col("theirs") != F.col("ours")).cast("int")).alias("changed"))
+    slots = values.groupBy(*by).agg(
         F.count("*").alias("slots"), F.sum((F.col("n") == 1).cast("long")).alias("consistent"), F.sum(F.col("changed").cast("long")).alias("changed")
     )
-    joined = counted.join(slots.select(F.col("key").alias("k"), F.col("item").alias("i"), "slots", "consistent", "changed"), (F.col("key") == F.col("k")) & (F.col("item") == F.col("i")), "left")
+    slots = slots.select(F.col("key").alias("k"), F.col("item").alias("i"), F.col("way").alias("w"), "slots", "consistent", "changed")
+    joined = counted.join(slots, (F.col("key") == F.col("k")) & (F.col("item") == F.col("i")) & (F.col("way") == F.col("w")), "left")
     enough = (100 * F.col("met") >= SHARE_PERCENT * F.col("of_item")) | (F.col("met") >= RUN)
     agreed = F.col("slots").isNull() | (2 * F.col("consistent") >= F.col("slots"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    return joined.where(enough & agreed).select(
+    best = F.struct("way", "met", "of_item", zero("slots").alias("slots"), zero("consistent").alias("consistent"), zero("changed").alias("changed"))
+    best = joined.where(enough & agreed).groupBy("key", "item").agg(F.min(best).alias("best"))
+    return best.select(
         F.col("key.doc").alias("doc_id"),
         F.col("item").alias("item_id"),
-        F.col("met").alias("windows_met"),
-        F.col("of_item").alias("windows_of_item"),
-        zero("slots").alias("slots"),
-        zero("consistent").alias("slots_consistent"),
-        zero("changed").alias("slots_changed"),
+        F.col("best.met").alias("windows_met"),
+        F.col("best.of_item").alias("windows_of_item"),
+        F.col("best.slots").alias("slots"),
+        F.col("best.consistent").alias("slots_consistent"),
+        F.col("best.changed").alias("slots_changed"),
     )
 
 

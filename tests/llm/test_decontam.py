@@ -71,3 +71,24 @@ def test_odd_texts(spark, hostile, nothing):
     rows = spark.createDataFrame([(None, ITEM, "x"), (None, ITEM, "x"), (7, None, "y"), (8, FILL, "z")], "doc_id long, text string, item_id string")
     assert D.held_items(rows, bench).count() == 2
     assert {r["doc_id"] for r in D.without_items(rows, bench).collect()} == {7, 8}
+
+
+ACCENTED = "Le soir, Émilie Dupré était allée à Orléans où l'été dernier Zoë Müller avait acheté des pâtes près du château avec Łukasz Śliwa et Ольга Петрова ."
+
+
+def test_copies_in_other_case(spark, frame):
+    """Names are known by capitals, which copies in capitals or small letters have not; accents fold too."""
+    bench = spark.createDataFrame([(1, ITEM), (2, ACCENTED)], "item_id long, text string")
+    capitals = ITEM.upper().replace("12", "40").replace("7", "8")
+    docs = [ACCENTED.upper(), ACCENTED.lower(), ITEM.upper(), ITEM.lower(), capitals, FILL.upper()]
+    got = {(r["doc_id"], r["item_id"]): r for r in D.held_items(frame([f"{FILL} {d} {FILL}" for d in docs]), bench).collect()}
+    assert set(got) == {(0, 2), (1, 2), (2, 1), (3, 1), (4, 1)}
+    assert got[(4, 1)]["slots_changed"] == 2
+
+
+def test_names_and_numbers_of_other_lengths(spark, frame):
+    item = "every week Alice sold 12 red lamps to Bob for 30 coins while Carol paid 9 coins for lamps that Dan kept there"
+    changed = item.replace("Alice", "Mary Ann Lee").replace("12", "twenty five").replace("Bob", "Sir John Smith").replace("30", "two hundred")
+    changed = changed.replace("Carol", "Eva Maria").replace("9", "thirty-one").replace("Dan", "Uncle Joe")
+    got = D.held_items(frame([changed, FILL]), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["slots_consistent"] == r["slots"], r["slots_changed"]) for r in got] == [(0, True, 7)]
