@@ -9,9 +9,11 @@ consecutive windows of ``PASSAGE`` words the one with the least hash is a unit (
 sharing ``PASSAGE + REACH - 1`` words in a row share a unit whatever stands around. Equal units are one class.
 
 One paragraph or unit of each cluster stays, the first by document id and place; the others are to be removed. Only
-clusters that span two documents or more are reported. Overlapping units of a document are reported as one span.
+clusters that span two documents or more are reported, then with every occurrence in every document. Overlapping units of
+a document are reported as one span if all of them stay or all are later copies. A later copy that overlaps a unit that
+stays is reported without the words of that unit, so the words of a unit that stays are never in a removed passage.
 
-Defined results: null, empty and short texts give no rows; a document's own repeats do not count; a null id comes last;
+Defined results: null, empty and short texts give no rows; repeats within one document only do not count; a null id comes last;
 equal texts in two rows are two documents; empty tables give empty results. Extra columns are not read.
 """
 
@@ -215,39 +217,50 @@ def winnowed(piece: X.Slice, passage: int = PASSAGE, reach: int = REACH) -> tupl
     return row[at], first[at] - found.bounds[row[at]], h[at]
 
 
-def _first_of_each(row: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places of the first unit of each hash in each text: a text that says one thing over and over says it once."""
-    keyed = X.mix(h ^ (row.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)))
-    return np.sort(np.unique(keyed, return_index=True)[1])
+def _places_of_each(row: np.ndarray, start: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(row, all places, hash) of each hash in each text: a text that says one thing over and over gives one entry."""
+    order = np.lexsort((start, h, row))
+    row, start, h = row[order], start[order], h[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    heads = np.flatnonzero(new)
+    places = pa.ListArray.from_arrays(pa.array(np.append(heads, len(h)), pa.int32()), pa.array(start, pa.int64()))
+    return row[heads], places, h[heads]
 
 
 def repeated_passages(rows: DataFrame) -> DataFrame:
-    """(row, doc, start, words, cluster, first_row): merged spans of the units that two rows or more hold."""
+    """(row, doc, start, words, cluster, removed): merged spans of the units that two rows or more hold."""
     schema = T.StructType(
-        [T.StructField("row", T.LongType()), T.StructField("doc", rows.schema["doc"].dataType), T.StructField("start", T.LongType()), T.StructField("h", T.LongType())]
+        [T.StructField("row", T.LongType()), T.StructField("doc", rows.schema["doc"].dataType), T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("h", T.LongType())]
     )
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in X.slices(batch.column("text")):
-            row, start, h = winnowed(piece)
-            once = _first_of_each(row, h)
-            row, start, h = row[once], start[once], h[once]
+            row, starts, h = _places_of_each(*winnowed(piece))
             of = pa.array(row + piece.first)
-            yield {"row": batch.column("row").take(of), "doc": batch.column("doc").take(of), "start": start, "h": h.view(np.int64)}
+            yield {"row": batch.column("row").take(of), "doc": batch.column("doc").take(of), "starts": starts, "h": h.view(np.int64)}
 
     units = store(X.map_batches(rows, cut, schema)).df
     met = store(_shared_entries(units, "h", "row")).df
-    first = met.groupBy("h").agg(F.min(_rank("doc", "row", "start")).alias("first"))
-    known = met.join(first, "h")
+    first = met.withColumn("start", F.col("starts")[0]).groupBy("h").agg(F.min(_rank("doc", "row", "start")).alias("first"))
+    known = met.join(first, "h").select("row", "doc", "h", "first", F.explode("starts").alias("start"))
     known = known.withColumn("later", (_rank("doc", "row", "start") != F.col("first")).cast("int"))
     inside = Window.partitionBy("row").orderBy("start")  # the units of one text
-    reached = F.max("start").over(inside.rowsBetween(Window.unboundedPreceding, -1)) + PASSAGE
-    spans = known.withColumn("opens", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
+    stays = F.col("later") == 0
+    before = F.max(F.when(stays, F.col("start") + PASSAGE)).over(inside.rangeBetween(-PASSAGE, -1))
+    behind = F.min(F.when(stays, F.col("start"))).over(inside.rangeBetween(1, PASSAGE))
+    known = known.withColumn("before", before).withColumn("behind", behind)
+    known = known.withColumn("from", F.when(stays, F.col("start")).otherwise(F.greatest("start", "before")))
+    known = known.withColumn("to", F.when(stays, F.col("start") + PASSAGE).otherwise(F.least(F.col("start") + PASSAGE, "behind"))).where("from < to")
+    inside = Window.partitionBy("row").orderBy("from")
+    reached = F.max("to").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (F.col("from") > reached) | (F.col("later") != F.lag("later").over(inside))
+    spans = known.withColumn("opens", F.coalesce(opens, F.lit(True)).cast("int"))
     spans = spans.withColumn("span", F.sum("opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     return spans.groupBy("row", "span").agg(
         F.first("doc").alias("doc"),
-        F.min("start").alias("start"),
-        (F.max("start") - F.min("start") + PASSAGE).alias("words"),
+        F.min("from").alias("start"),
+        (F.max("to") - F.min("from")).alias("words"),
         F.min("h").alias("cluster"),
         (F.max("later") > 0).alias("removed"),
     )

@@ -107,3 +107,31 @@ def test_odd_texts(hostile, nothing):
     assert {r["doc_id"] for r in rows} == {1, 2, None}
     assert sum(not r["removed"] for r in rows if r["kind"] == "paragraph") == 1
     assert P.repeats(nothing).count() == 0
+
+
+def test_every_occurrence_and_only_later_copies(frame):
+    """All words of later copies are removed but those of units that stay, also where texts repeat themselves and spans overlap."""
+    rng = random.Random(5)
+    long = prose(rng, 160)
+    said = prose(rng, 60)
+    texts = [
+        long[:70] + prose(rng, 9) + said + prose(rng, 30) + said,
+        prose(rng, 12) + long[:110] + prose(rng, 5) + said + prose(rng, 40) + said + prose(rng, 3) + said,
+        long[40:] + prose(rng, 20) + said,
+        long[75:120] + long[60:] + prose(rng, 20),
+    ]
+    texts = [" ".join(t) for t in texts]
+    places = defaultdict(list)
+    for doc, text in enumerate(texts):
+        _, first, h = P.winnowed(next(X.slices(pa.array([text]))))
+        for start, one in zip(first.tolist(), h.tolist(), strict=True):
+            places[one].append((doc, start))
+    shared = [sorted(p) for p in places.values() if len({doc for doc, _ in p}) > 1]
+    words = lambda units: {(doc, start + i) for doc, start in units for i in range(P.PASSAGE)}
+    stay, later = words(p[0] for p in shared), words(u for p in shared for u in p[1:])
+    assert stay & later
+    rows = P.repeats(frame(texts)).where("kind = 'passage'").collect()
+    got = {flag: [(r["doc_id"], r["start_word"] + i) for r in rows if r["removed"] == flag for i in range(r["n_words"])] for flag in (False, True)}
+    assert all(len(g) == len(set(g)) for g in got.values())
+    assert set(got[False]) == stay and set(got[True]) == later - stay
+    assert {doc for doc, _ in got[True]} == {0, 1, 2, 3}
