@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import decontam, html_layout, langid, lm, ngram_join, packing, paragraph_dedup, rules, secrets, url_lists
+from tallywind.llm import decontam, hard_negatives, html_layout, langid, lm, ngram_join, packing, paragraph_dedup, pivot_clusters, rules, secrets, url_lists
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -282,6 +282,65 @@ def url_filters(spark, sf_dir):
     return url_lists.judge(captures, entries)
 
 
+NEGATIVES_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256e0 * cast(x as double)) as bigint)) as q
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+         cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) as bigint) as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (
+  select anchor_id, other as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, other) as int) as rank,
+       other as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, other) <= 5
+"""
+
+
+@query("op12_hard_negative_mining", NEGATIVES_SQL)
+def hard_negative_mining(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def _round_sql(k: int) -> str:
+    """One assignment of every vector and the centroids that follow from it."""
+    return f"""a{k} as (
+  select vec_id, any_value(v.q) as q, min(16 * list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + c.c) as best
+  from v cross join c{k} c group by vec_id),
+m{k} as (
+  select c, i, (s - (s % n + n) % n) // n as x
+  from (select c, i, sum(x) as s, count(*) as n from (select best % 16 as c, unnest(q) as x, generate_subscripts(q, 1) as i from a{k}) group by c, i)),
+c{k + 1} as (
+  select c.c, coalesce(n.q, c.q) as q from c{k} c left join (select c, list(cast(x as bigint) order by i) as q from m{k} group by c) n on n.c = c.c)"""
+
+
+CLUSTERS_SQL = f"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64e0 * cast(x as double)) as bigint)) as q
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+c0 as (
+  select row_number() over (order by sha256('1:' || vec_id)) - 1 as c, q from v order by sha256('1:' || vec_id) limit 16),
+{", ".join(_round_sql(k) for k in range(4))},
+f as (
+  select vec_id, cast(best % 16 as int) as cluster, cast(best // 16 as bigint) as distance from a3)
+select vec_id, cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia, cast(sum(distance) over () as bigint) as inertia,
+       sha256(array_to_string(c3.q, ',')) as centroid_sha256
+from f join c3 on c3.c = f.cluster
+"""
+
+
+@query("op13_centroid_clustering", CLUSTERS_SQL)
+def centroid_clustering(spark, sf_dir):
+    return pivot_clusters.clusters_with_inertia(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # at the top of the repository; it takes its vocabulary from here
