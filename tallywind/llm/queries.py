@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tallywind.llm import decontam, hard_negatives, html_layout, langid, lm, ngram_join, packing, paragraph_dedup, pivot_clusters, rules, secrets, url_lists
+from tallywind.llm import decontam, hard_negatives, html_layout, langid, lm, ngram_join, packing, paragraph_dedup, pivot_clusters, rules, secrets, suffix_dedup, url_lists
 from tallywind.llm.ids import id_remainder
 from tallywind.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
@@ -282,6 +282,38 @@ def url_filters(spark, sf_dir):
     return url_lists.judge(captures, entries)
 
 
+SUFFIX_SQL = """
+with d as (
+  select doc_id, encode(coalesce(text, '')) as b from documents),
+w as (
+  select doc_id, p, b[p:p + 49] as s from (select doc_id, b, unnest(range(1, octet_length(b) - 48)) as p from d where octet_length(b) >= 50)),
+m as (
+  select s, min(doc_id) as least from w group by s),
+r as (
+  select doc_id, p from w join m using (s) where least < doc_id),
+i as (
+  select doc_id, p, sum(opens) over (partition by doc_id order by p) as span
+  from (select doc_id, p, case when p - lag(p) over (partition by doc_id order by p) <= 50 then 0 else 1 end as opens from r)),
+sp as (
+  select doc_id, min(p) as a, max(p) + 50 as z from i group by doc_id, span),
+g as (
+  select doc_id, coalesce(lag(z) over (partition by doc_id order by a), 1) as a, a as z from sp
+  union all select d.doc_id, coalesce(max(sp.z), 1), any_value(octet_length(b)) + 1 from d left join sp on sp.doc_id = d.doc_id group by d.doc_id),
+k as (
+  select g.doc_id, string_agg(case when g.z > g.a then hex(b[g.a:g.z - 1]) else '' end, '' order by g.a, g.z) as h from g join d on d.doc_id = g.doc_id group by g.doc_id),
+n as (
+  select doc_id, sum(z - a) as n_removed, count(*) as n_spans from sp group by doc_id)
+select d.doc_id, cast(octet_length(b) as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(h)) as kept_sha256
+from d join k on k.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+"""
+
+
+@query("op11_suffix_array_dedup", SUFFIX_SQL)
+def suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 NEGATIVES_SQL = """
 with v as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
