@@ -52,8 +52,8 @@ _COUNTED = 1 << 21
 RUN_KEYS = 1 << 18
 #: Keys worked on at once in a merge, but for a longer group.
 _CHUNK = 1 << 16
-_SAMPLE = 64
-SPLITTERS_FROM = 1 << 14
+#: Strings that a slice of text gives to the sample for cutting parts; the sample's parts, and strings kept of each.
+_SAMPLE, _SAMPLES, _SAMPLE_OF_PART = 64, 64, 256
 _NONE = (1 << 63) - 1
 _PAD = 0xFF  # in no UTF-8 text
 
@@ -110,7 +110,7 @@ def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 def occurrences(docs: DataFrame, text: str) -> DataFrame:
     """(part, once, often, counts): hashes of anchors by part, those of one text of a chunk and those of more; and, in
-    part -1, a sample of the strings themselves."""
+    parts below 0, a sample of the strings themselves."""
     schema = "part int, once binary, often binary, counts binary"
     target = pa.schema([("part", pa.int32()), ("once", pa.binary()), ("often", pa.binary()), ("counts", pa.binary())])
 
@@ -142,7 +142,8 @@ def occurrences(docs: DataFrame, text: str) -> DataFrame:
                 if len(found.at):
                     chosen = found.at[np.argsort(found.hash)[:_SAMPLE]]
                     sample = piece.data[chosen[:, None] + np.arange(GRAM)]
-                    yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *[pa.array([b]) for b in (sample.tobytes(), b"", b"")]], schema=target)
+                    to = -1 - int(found.hash[0] % U64(_SAMPLES))
+                    yield pa.RecordBatch.from_arrays([pa.array([to], pa.int32()), *[pa.array([b]) for b in (sample.tobytes(), b"", b"")]], schema=target)
                 hashes.append(found.hash)
                 rows.append(found.row + first)
                 held, first = held + len(found.at), first + piece.rows
@@ -160,9 +161,11 @@ def _by(rows: DataFrame, key: str, *then: str) -> DataFrame:
     return rows.repartition(key).sortWithinPartitions(key, *then)
 
 
-def repeated(counted: DataFrame, heavy: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
-    """(filter, heavy hashes): a bit per 28-bit hash of a string in two texts or more; and the strings, as 44-bit hashes, that
-    are most frequent. A row per part of at most 8 KB reaches the driver."""
+def repeated(counted: DataFrame, parts: int, heavy: int = HEAVY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(filter, heavy hashes, splitters): a bit per 28-bit hash of a string in two texts or more; the strings, as 44-bit hashes,
+    that are most frequent; and where the order of all strings is cut into ``parts``, by a bounded sample.
+
+    A row per part of at most 8 KB reaches the driver."""
 
     def settle(once: list[bytes], often: list[bytes], counts: list[bytes]) -> tuple[bytes, bytes]:
         h = np.concatenate([np.frombuffer(b"".join(once), dtype=np.uint32), np.frombuffer(b"".join(often), dtype=np.uint32)])
@@ -176,11 +179,16 @@ def repeated(counted: DataFrame, heavy: int = HEAVY) -> tuple[np.ndarray, np.nda
         bits[h[times >= 2] >> np.uint32(16)] = True
         return np.packbits(bits, bitorder="little").tobytes(), h[times >= max(heavy, times.sum() // 16)].tobytes()
 
+    def thinned(samples: list[bytes]) -> list[bytes]:
+        """A fixed number of strings, those of least digest."""
+        each = {s[i : i + GRAM] for s in samples for i in range(0, len(s), GRAM)}
+        return [b"".join(sorted(each, key=lambda s: hashlib.md5(s).digest())[:_SAMPLE_OF_PART])]
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, ([], [], [])
 
         def out():
-            bits, most = settle(*held)
+            bits, most = settle(*held) if now >= 0 else (thinned(held[0])[0], b"")
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([bits]), pa.array([most])], names=["part", "bits", "heavy"])
 
         for batch in batches:
@@ -189,26 +197,25 @@ def repeated(counted: DataFrame, heavy: int = HEAVY) -> tuple[np.ndarray, np.nda
                     yield out()
                     held = ([], [], [])
                 now = part
-                for parts, body in zip(held, bodies, strict=True):
-                    parts.append(body)
+                if now < 0 and len(held[0]) >= _SAMPLES:
+                    held = (thinned(held[0]), [], [])
+                for one, body in zip(held, bodies, strict=True):
+                    one.append(body)
         if held[0]:
             yield out()
 
     table = np.zeros(1 << (PART_BITS + 16 - 6), dtype=U64)
     per = len(table) >> PART_BITS
-    most = [np.zeros(0, dtype=U64)]
-    for r in _by(counted.where("part >= 0"), "part").mapInArrow(add, "part int, bits binary, heavy binary").toArrow().to_pylist():
+    most, sample = [np.zeros(0, dtype=U64)], []
+    for r in _by(counted, "part").mapInArrow(add, "part int, bits binary, heavy binary").toArrow().to_pylist():
+        if r["part"] < 0:
+            sample += [r["bits"][i : i + GRAM] for i in range(0, len(r["bits"]), GRAM)]
+            continue
         table[r["part"] * per : (r["part"] + 1) * per] = np.frombuffer(r["bits"], dtype=U64)
         most.append((U64(r["part"]) << U64(32)) | np.frombuffer(r["heavy"], dtype=np.uint32).astype(U64))
-    return table, np.sort(np.concatenate(most))
-
-
-def splitters(counted: DataFrame, parts: int) -> np.ndarray:
-    """Where the order of all strings is cut into ``parts``, by a bounded sample of them."""
-    pieces = F.transform(F.sequence(F.lit(0), (F.length("once") / GRAM).cast("int") - 1), lambda i: F.substring("once", i * GRAM + 1, F.lit(GRAM)))
-    sample = counted.where("part < 0").select(F.explode(pieces).alias("s")).orderBy(F.xxhash64("s"), "s").limit(SPLITTERS_FROM)
-    found = np.array(sorted(bytes(r["s"]) for r in sample.collect()), dtype=f"S{GRAM}")
-    return np.unique(found[(np.arange(1, parts) * len(found)) // parts]) if len(found) else found
+    strings = np.array(sorted(sample), dtype=f"S{GRAM}")
+    cuts = np.unique(strings[(np.arange(1, parts) * len(strings)) // parts]) if len(strings) else strings
+    return table, np.sort(np.concatenate(most)), cuts
 
 
 class Keys:
@@ -246,7 +253,7 @@ class Keys:
             if a < b:
                 known, rest = R.front_coded(distinct[a:b])
                 of = slice(heads[a], heads[b])
-                places = (heads[a : b + 1] - heads[a]).astype(np.uint32), row[of].astype(np.uint32), at[of].astype(np.uint32), low[of].astype(np.uint8), high[of].astype(np.uint8)
+                places = np.diff(heads[a : b + 1]).astype(np.uint32), row[of].astype(np.uint32), at[of].astype(np.uint32), low[of].astype(np.uint8), high[of].astype(np.uint8)
                 yield part, R.packed(known, rest, least[a:b], most[a:b]), R.packed(*places)
 
 
@@ -256,18 +263,18 @@ _ROWS = "run long, kind int, part int, body binary"
 _NAMES = ["run", "kind", "part", "body"]
 
 
-def runs(docs: DataFrame, known, cuts, run_keys: int = RUN_KEYS) -> DataFrame:
+def runs(docs: DataFrame, known, run_keys: int = RUN_KEYS) -> DataFrame:
     """The sorted runs of (id, key, text). Parts 0, 1, ... hold keys of anchors, parts -2, -3, ... single windows."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, heavy = known.value
+        table, heavy, cuts = known.value
         number = TaskContext.get().partitionId() << 32
 
         def out():
             ids, hashes = (np.concatenate(c) for c in zip(*rows, strict=True))
             found = [(DOCS, -1, R.packed(ids, hashes))]
             for keys, place in ((anchors, lambda p: p), (windows, lambda p: -2 - p)):
-                for part, run, places in keys.bodies(ids, cuts.value):
+                for part, run, places in keys.bodies(ids, cuts):
                     found += [(RUN, place(part), run), (PLACES, place(part), places)]
             if len(found) > 1:
                 for kind, part, body in found:
@@ -388,7 +395,10 @@ class Merge:
 
 
 def merge_parts(made: DataFrame) -> DataFrame:
-    """The answers to all runs, part by part."""
+    """The answers to all runs, part by part, and the runs' documents and places as they are.
+
+    Keys are shuffled to their parts and never written; what has to come back together is.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bodies = None, {}
@@ -398,7 +408,10 @@ def merge_parts(made: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([run]), pa.array([ANSWERS], pa.int32()), pa.array([now], pa.int32()), pa.array([body])], names=_NAMES)
 
         for batch in batches:
-            for run, part, body in zip(*[batch.column(c).to_pylist() for c in ("run", "part", "body")], strict=True):
+            keys = batch.column("kind").to_numpy() == RUN
+            yield batch.filter(pa.array(~keys))
+            mine = batch.filter(pa.array(keys))
+            for run, part, body in zip(*[mine.column(c).to_pylist() for c in ("run", "part", "body")], strict=True):
                 if part != now:
                     if bodies:
                         yield from out()
@@ -407,7 +420,8 @@ def merge_parts(made: DataFrame) -> DataFrame:
         if bodies:
             yield from out()
 
-    return _by(made.where(F.col("kind") == RUN), "part", "run").mapInArrow(merge, _ROWS)
+    to = F.when(F.col("kind") == RUN, F.col("part").cast("long")).otherwise(F.xxhash64("run", "part"))
+    return _by(made.withColumn("to", to), "to", "part", "run").select(*_NAMES).mapInArrow(merge, _ROWS)
 
 
 def spans_of(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -426,11 +440,12 @@ def spans_of(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
 
 def told_spans(places: bytes, answers: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end) of the bytes that the answers to a part remove from the run's documents."""
-    bounds, row, at, low, high = R.unpacked(places, "u4", "u4", "u4", "u1", "u1")
+    sizes, row, at, low, high = R.unpacked(places, "u4", "u4", "u4", "u1", "u1")
     key, first, last, doc = R.unpacked(answers, "u4", "u1", "u1", "i8")
-    counts = (bounds[key + np.uint32(1)] - bounds[key]).astype(np.int64)
+    behind = np.cumsum(sizes, dtype=np.int64)
+    counts = sizes[key].astype(np.int64)
     entry = np.repeat(np.arange(len(key)), counts)
-    of = np.arange(len(entry)) - np.repeat(np.cumsum(counts) - counts, counts) + bounds[key[entry]].astype(np.int64)
+    of = np.arange(len(entry)) - np.repeat(np.cumsum(counts) - counts, counts) + (behind - sizes)[key[entry]]
     near, far = np.maximum(low[of], first[entry]).astype(np.int64), np.minimum(high[of], last[entry]).astype(np.int64)
     take = (near <= far) & (ids[row[of]] > doc[entry])
     of, near, far = of[take], near[take], far[take]
@@ -438,7 +453,7 @@ def told_spans(places: bytes, answers: bytes, ids: np.ndarray) -> tuple[np.ndarr
     return spans_of(row[of].astype(np.int64), at - far, at - near + WIDTH)
 
 
-def removed_spans(made: DataFrame, answers: DataFrame) -> DataFrame:
+def removed_spans(told: DataFrame) -> DataFrame:
     """(id, key, starts, ends) of the documents from which anything is removed."""
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "key")] + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("starts", "ends")])
 
@@ -468,8 +483,7 @@ def removed_spans(made: DataFrame, answers: DataFrame) -> DataFrame:
         if found:
             yield out()
 
-    both = made.where(F.col("kind") <= PLACES).unionByName(answers).withColumn("docs_first", F.col("kind") != DOCS)
-    return _by(both, "run", "docs_first", "part", "kind").select(*_NAMES).mapInArrow(apply, schema)
+    return _by(told.withColumn("behind", F.col("kind") != DOCS), "run", "behind", "part", "kind").select(*_NAMES).mapInArrow(apply, schema)
 
 
 def kept_bytes(data: bytes, starts, ends) -> tuple[int, str]:
@@ -489,12 +503,9 @@ def repeats(
     spark = docs.sparkSession
     key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("id"), key.alias("key"), F.col(text).alias("text"), F.col(doc_id).alias("own"))
-    counted = store(occurrences(rows, "text")).df
-    known = shared(spark, repeated(counted, heavy))
-    cuts = shared(spark, splitters(counted, parts or int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    made = store(runs(rows, known, cuts, run_keys)).df
-    answers = store(merge_parts(made)).df
-    spans = store(removed_spans(made, answers).dropDuplicates(["id", "key"])).df
+    known = shared(spark, repeated(occurrences(rows, "text"), parts or int(spark.conf.get("spark.sql.shuffle.partitions")), heavy))
+    told = store(merge_parts(runs(rows, known, run_keys))).df
+    spans = store(removed_spans(told).dropDuplicates(["id", "key"])).df
     return rows, spans
 
 
