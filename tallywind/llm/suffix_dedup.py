@@ -6,14 +6,16 @@ place, so what matters is the suffix at an anchor with the bytes before it: the
 then the ``LEFT`` bytes before it, backwards. Two windows that begin j bytes before their anchors are equal just if the keys agree
 in the first WIDTH - j bytes and in the first j bytes behind WIDTH.
 
-1. *What can repeat.* Tasks count in how many texts the string at each anchor occurs, as sorted 44-bit hashes per part; parts are
+1. *Whole copies.* A document whose text an earlier one has is removed whole; it takes no part in the rest, where it could
+   not change anything.
+2. *What can repeat.* Tasks count in how many texts the string at each anchor occurs, as sorted 44-bit hashes per part; parts are
    added up one by one. Strings of two texts or more set a bit in a filter of fixed size (32 MB). An anchor without its bit
    cannot lie in a repeated window. A full filter lets everything pass and loses nothing.
-2. *Runs.* Tasks make the keys of the anchors left, sort them, keep equal ones once with the least and the largest document, and
+3. *Runs.* Tasks make the keys of the anchors left, sort them, keep equal ones once with the least and the largest document, and
    write them as front-coded runs, cut by range into parts. The places behind every key stay with the run.
-3. *Merge.* A part's runs are merged by a loser tree that never compares a known prefix again (``suffix_runs``). Keys in order
+4. *Merge.* A part's runs are merged by a loser tree that never compares a known prefix again (``suffix_runs``). Keys in order
    with their common prefixes give the classes of equal windows for every j and so the least document of each.
-4. *Answers* go back to the run, one entry per key and not per place, and the run's places become removed spans of documents.
+5. *Answers* go back to the run, one entry per key and not per place, and the run's places become removed spans of documents.
 
 A string that more than a sixteenth of its part's count has (at least ``HEAVY``) could fill a task with different keys of one
 anchor. Its windows are sorted one by one instead, as keys without left bytes, where only equal keys have to meet; those are
@@ -57,6 +59,8 @@ _SAMPLE, _SAMPLES, _SAMPLE_OF_PART = 64, 64, 256
 _NONE = (1 << 63) - 1
 _PAD = 0xFF  # in no UTF-8 text
 
+_EMPTY = hashlib.sha256().hexdigest()
+
 U64 = np.uint64
 
 
@@ -226,10 +230,11 @@ class Keys:
         self.held: list[tuple[np.ndarray, ...]] = []
 
     def add(self, piece: X.Slice, at: np.ndarray, row: np.ndarray, low: np.ndarray, high: np.ndarray, first: int) -> int:
-        behind = at[:, None] + np.arange(WIDTH)
-        right = np.where(behind < piece.offsets[row + 1][:, None], piece.data[np.minimum(behind, len(piece.data) - 1)], _PAD)
-        before = at[:, None] - np.arange(1, self.left + 1)
-        left = np.where(before >= piece.offsets[row][:, None], piece.data[np.maximum(before, 0)], _PAD)
+        """Keys hold what the anchor's own windows hold; equal windows have one anchor, so no other byte is ever asked for."""
+        behind = np.arange(WIDTH)
+        right = np.where(behind < WIDTH - low[:, None], piece.data[np.minimum(at[:, None] + behind, len(piece.data) - 1)], _PAD)
+        before = np.arange(1, self.left + 1)
+        left = np.where(before <= high[:, None], piece.data[np.maximum(at[:, None] - before, 0)], _PAD)
         keys = np.concatenate([right, left], axis=1).astype(np.uint8)
         self.held.append((keys, row + first, at - piece.offsets[row], low, high))
         return len(at)
@@ -254,7 +259,7 @@ class Keys:
                 known, rest = R.front_coded(distinct[a:b])
                 of = slice(heads[a], heads[b])
                 places = np.diff(heads[a : b + 1]).astype(np.uint32), row[of].astype(np.uint32), at[of].astype(np.uint32), low[of].astype(np.uint8), high[of].astype(np.uint8)
-                yield part, R.packed(known, rest, least[a:b], most[a:b]), R.packed(*places)
+                yield part, R.packed(known, rest, least[a:b], most[a:b] - least[a:b]), R.packed(*places)
 
 
 #: Kinds of rows: documents of a run, places of a part's keys, front-coded keys, answers to them.
@@ -346,7 +351,7 @@ class Merge:
         opened = [R.unpacked(bodies[r], "u1", "u1", "i8", "i8") for r in self.names]
         self.runs = [(known, rest.tobytes()) for known, rest, _, _ in opened]
         self.least = [o[2] for o in opened]
-        self.most = [o[3] for o in opened]
+        self.most = [o[2] + o[3] for o in opened]
         self.told: list[list[np.ndarray]] = []
 
     def answers(self) -> Iterator[tuple[int, bytes]]:
@@ -496,48 +501,79 @@ def kept_bytes(data: bytes, starts, ends) -> tuple[int, str]:
     return removed, left.hexdigest()
 
 
+def without_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(The documents but for those whose whole text an earlier document has; those, by order and hash.)
+
+    Copies are known by SHA-256, so the search for them moves digests and no text. A filter of fixed size tells in which
+    documents to look; what it takes for a copy and is none comes back by a join, which alone moves text.
+    """
+    each = rows.select("id", "key", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+    first = each.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("sha", "first")
+    copies = store(each.join(first, "sha").where("id > first").select("id", "key").distinct()).df
+    bits = shared(rows.sparkSession, key_filter(copies, "key"))
+
+    def split(wanted: bool):
+        def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    yield batch.filter(pa.array(may_hold(bits.value, batch.column(1).to_numpy()) == wanted))
+
+        return rows.select("id", "key", "text").mapInArrow(take, "id long, key long, text string")
+
+    return split(False).union(store(split(True).join(copies, ["id", "key"], "left_anti")).df), copies
+
+
 def repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", run_keys: int = RUN_KEYS, heavy: int = HEAVY, parts: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(documents by order, hash of the text, text and id as given; and the removed byte spans (starts, ends) by order and hash)."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents by order, hash of the text, text and id as given; the removed byte spans (starts, ends) by order and hash of those
+    without an earlier whole copy; the others by order and hash)."""
     spark = docs.sparkSession
     key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("id"), key.alias("key"), F.col(text).alias("text"), F.col(doc_id).alias("own"))
-    known = shared(spark, repeated(occurrences(rows, "text"), parts or int(spark.conf.get("spark.sql.shuffle.partitions")), heavy))
-    told = store(merge_parts(runs(rows, known, run_keys))).df
-    spans = store(removed_spans(told).dropDuplicates(["id", "key"])).df
-    return rows, spans
+    firsts, copies = without_copies(rows)
+    known = shared(spark, repeated(occurrences(firsts, "text"), parts or int(spark.conf.get("spark.sql.shuffle.partitions")), heavy))
+    spans = store(removed_spans(merge_parts(runs(firsts, known, run_keys))).dropDuplicates(["id", "key"])).df
+    return rows, spans, copies
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    rows, spans = repeats(docs, doc_id, text, **options)
+    rows, spans, copies = repeats(docs, doc_id, text, **options)
     bits = shared(docs.sparkSession, key_filter(spans, "key"))
-    kind = T.StructType([*rows.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("sha", T.StringType())])
+    kind = T.StructType([f for f in rows.schema if f.name != "text"] + [T.StructField("body", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("sha", T.StringType())])
 
     def settle(batch: pa.RecordBatch) -> Iterator[dict]:
-        """Texts that lose nothing are done here and go on without their text."""
-        open_ = may_hold(bits.value, batch.column("key").to_numpy())
-        texts = batch.column("text").to_pylist()
-        raw = [(t or "").encode() for t in texts]
+        """Texts that lose nothing are done here; the others go on compressed."""
+        open_ = may_hold(bits.value, batch.column("key").to_numpy()).tolist()
+        raw = [(t or "").encode() for t in batch.column("text").to_pylist()]
         yield {c: batch.column(c) for c in ("id", "key", "own")} | {
-            "text": pa.array([t if o else None for t, o in zip(texts, open_.tolist(), strict=True)], pa.string()),
+            "body": pa.array([R.packed(np.frombuffer(b, dtype=np.uint8)) if o else None for b, o in zip(raw, open_, strict=True)], pa.binary()),
             "n_bytes": np.array([len(b) for b in raw], dtype=np.int64),
-            "sha": pa.array([None if o else hashlib.sha256(b).hexdigest() for b, o in zip(raw, open_.tolist(), strict=True)], pa.string()),
+            "sha": pa.array([hashlib.sha256(b).hexdigest() for b in raw], pa.string()),
         }
 
-    joined = X.map_batches(rows, settle, kind).join(spans, ["id", "key"], "left")
+    whole = copies.withColumn("whole", F.lit(True))
+    joined = X.map_batches(rows, settle, kind).join(spans, ["id", "key"], "left").join(whole, ["id", "key"], "left")
     out = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType)] + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType())])
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts, sha, starts, ends = (batch.column(c).to_pylist() for c in ("text", "sha", "starts", "ends"))
-        done = [(0, s) if s is not None else kept_bytes((t or "").encode(), a or [], b or []) for t, s, a, b in zip(texts, sha, starts, ends, strict=True)]
+        done = []
+        for body, sha, starts, ends, whole, n in zip(*[batch.column(c).to_pylist() for c in ("body", "sha", "starts", "ends", "whole", "n_bytes")], strict=True):
+            if whole and n >= WIDTH:
+                done.append((n, 1, _EMPTY))
+            elif starts and not whole:
+                removed, sha = kept_bytes(R.unpacked(body, "u1")[0].tobytes(), starts, ends)
+                done.append((removed, len(starts), sha))
+            else:
+                done.append((0, 0, sha))
+        removed, spans_, sha = zip(*done, strict=True)
         yield {
             doc_id: batch.column("own"),
             "n_bytes": batch.column("n_bytes"),
-            "n_removed": np.array([n for n, _ in done], dtype=np.int64),
-            "n_spans": np.array([len(a or []) for a in starts], dtype=np.int64),
-            "kept_sha256": pa.array([s for _, s in done], pa.string()),
+            "n_removed": np.array(removed, dtype=np.int64),
+            "n_spans": np.array(spans_, dtype=np.int64),
+            "kept_sha256": pa.array(sha, pa.string()),
         }
 
-    return X.map_batches(joined.select("own", "text", "sha", "starts", "ends", "n_bytes"), cut, out)
+    return X.map_batches(joined.select("own", "body", "sha", "starts", "ends", "whole", "n_bytes"), cut, out)
