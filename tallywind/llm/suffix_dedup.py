@@ -29,11 +29,12 @@ longest text, at about 60 bytes for each of its bytes. Extra columns are not rea
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +51,7 @@ LEFT = WIDTH - GRAM
 PART_BITS = 12
 HEAVY = 4096
 #: Anchors counted, and keys sorted, at once in a task.
-_COUNTED = 1 << 21
+_COUNTED = 1 << 20
 RUN_KEYS = 1 << 18
 #: Keys worked on at once in a merge, but for a longer group.
 _CHUNK = 1 << 16
@@ -112,7 +113,7 @@ def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
 
 
-def occurrences(docs: DataFrame, text: str) -> DataFrame:
+def occurrences(docs: Firsts) -> DataFrame:
     """(part, once, often, counts): hashes of anchors by part, those of one text of a chunk and those of more; and, in
     parts below 0, a sample of the strings themselves."""
     schema = "part int, once binary, often binary, counts binary"
@@ -141,7 +142,7 @@ def occurrences(docs: DataFrame, text: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rows, held, first = [], [], 0, 0
         for batch in batches:
-            for piece in X.slices(batch.column(0)):
+            for piece in X.slices(batch.column(2)):
                 found = Anchors(piece)
                 if len(found.at):
                     chosen = found.at[np.argsort(found.hash)[:_SAMPLE]]
@@ -157,7 +158,7 @@ def occurrences(docs: DataFrame, text: str) -> DataFrame:
         if held:
             yield flush(hashes, rows)
 
-    return docs.select(text).mapInArrow(count, schema)
+    return docs.map(count, schema)
 
 
 def _by(rows: DataFrame, key: str, *then: str) -> DataFrame:
@@ -268,7 +269,7 @@ _ROWS = "run long, kind int, part int, body binary"
 _NAMES = ["run", "kind", "part", "body"]
 
 
-def runs(docs: DataFrame, known, run_keys: int = RUN_KEYS) -> DataFrame:
+def runs(docs: Firsts, known, run_keys: int = RUN_KEYS) -> DataFrame:
     """The sorted runs of (id, key, text). Parts 0, 1, ... hold keys of anchors, parts -2, -3, ... single windows."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +311,7 @@ def runs(docs: DataFrame, known, run_keys: int = RUN_KEYS) -> DataFrame:
         if held:
             yield from out()
 
-    return docs.select("id", "key", "text").mapInArrow(make, _ROWS)
+    return docs.map(make, _ROWS)
 
 
 def _classes(before: np.ndarray, byte: np.ndarray) -> np.ndarray:
@@ -501,7 +502,30 @@ def kept_bytes(data: bytes, starts, ends) -> tuple[int, str]:
     return removed, left.hexdigest()
 
 
-def without_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+@dataclass
+class Firsts:
+    """Documents (id, key, text, sure) less those that are not ``sure`` and whose key is in the filter.
+
+    Whoever reads the texts applies the filter, so that no task has two Python workers.
+    """
+
+    rows: DataFrame
+    copies: Broadcast
+
+    def map(self, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+        bits = self.copies
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def first(batch: pa.RecordBatch) -> pa.RecordBatch:
+                keep = batch.column(3).to_numpy(zero_copy_only=False) | ~may_hold(bits.value, batch.column(1).to_numpy())
+                return batch if keep.all() else batch.filter(pa.array(keep))
+
+            return make(first(batch) for batch in batches if batch.num_rows)
+
+        return self.rows.mapInArrow(run, schema)
+
+
+def without_copies(rows: DataFrame) -> tuple[Firsts, DataFrame]:
     """(The documents but for those whose whole text an earlier document has; those, by order and hash.)
 
     Copies are known by SHA-256, so the search for them moves digests and no text. A filter of fixed size tells in which
@@ -512,15 +536,14 @@ def without_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = store(each.join(first, "sha").where("id > first").select("id", "key").distinct()).df
     bits = shared(rows.sparkSession, key_filter(copies, "key"))
 
-    def split(wanted: bool):
-        def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    yield batch.filter(pa.array(may_hold(bits.value, batch.column(1).to_numpy()) == wanted))
-
-        return rows.select("id", "key", "text").mapInArrow(take, "id long, key long, text string")
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(may_hold(bits.value, batch.column(1).to_numpy())))
 
-    return split(False).union(store(split(True).join(copies, ["id", "key"], "left_anti")).df), copies
+    texts = rows.select("id", "key", "text")
+    back = store(texts.mapInArrow(take, texts.schema).join(copies, ["id", "key"], "left_anti")).df
+    return Firsts(texts.withColumn("sure", F.lit(False)).union(back.withColumn("sure", F.lit(True))), bits), copies
 
 
 def repeats(
@@ -532,7 +555,7 @@ def repeats(
     key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NONE)).alias("id"), key.alias("key"), F.col(text).alias("text"), F.col(doc_id).alias("own"))
     firsts, copies = without_copies(rows)
-    known = shared(spark, repeated(occurrences(firsts, "text"), parts or int(spark.conf.get("spark.sql.shuffle.partitions")), heavy))
+    known = shared(spark, repeated(occurrences(firsts), parts or int(spark.conf.get("spark.sql.shuffle.partitions")), heavy))
     spans = store(removed_spans(merge_parts(runs(firsts, known, run_keys))).dropDuplicates(["id", "key"])).df
     return rows, spans, copies
 
