@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, OneHotEncoder, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,41 @@ def to_category(codes: dict[str, Stored], df: DataFrame, suffix: str = "_cat", *
     return out.select(*df.columns, *known)
 
 
+def nominal(train: DataFrame, frames: Sequence[DataFrame], cols: Sequence[str], suffix: str = "_cat", most: int = 64) -> tuple[list[DataFrame], dict[str, int]]:
+    """(frames with codes fitted on ``train``, number of codes per code column) for the columns with few enough values.
+
+    Values unknown to ``train`` share the last code. Columns of more than ``most`` values are left out: a tree would try
+    every one of them at each node. ``target_statistic`` is for those.
+    """
+    codes = {c: table for c, table in label_codes(train, cols).items() if table.rows < most}
+    return [to_category(codes, df, suffix) if codes else df for df in frames], {c + suffix: table.rows + 1 for c, table in codes.items()}
+
+
+def target_statistic(
+    df: DataFrame, cols: Sequence[str], label: str = "is_trade", day: str = "day", weight: float = 10.0, suffix: str = "_rate", **options
+) -> DataFrame:
+    """Add per column ``<col><suffix>``: the mean label of its value on all days before the row's, drawn towards the mean over
+    all values by ``weight`` rows of it.
+
+    Nothing of the row's own day or a later one is used, so the label cannot leak into its feature. A value without
+    history, or a null, gets the mean alone; on the first day that is 0. Days meet as one row per (value, day), and what is
+    joined back is that small.
+    """
+    before = Window.orderBy(day).rangeBetween(Window.unboundedPreceding, -1)  # a row per day
+    per_day = store(df.groupBy(day).agg(F.count(label).alias("n"), F.sum(label).alias("y"))).df
+    mean = F.sum("y").over(before) / F.nullif(F.sum("n").over(before), F.lit(0))
+    out = attach_all(df, [(per_day.select(day, F.coalesce(mean, F.lit(0.0)).alias("_mean")), [day])], **options)
+    tables = []
+    for c in cols:
+        daily = df.where(F.col(c).isNotNull()).groupBy(c, day).agg(F.count(label).alias("_k"), F.sum(label).alias("_y"), F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy(c).orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
+        sums = {f"_k_{c}": F.coalesce(F.sum("_k").over(earlier), F.lit(0)), f"_y_{c}": F.coalesce(F.sum("_y").over(earlier), F.lit(0))}
+        tables.append((daily.select(c, day, "_n", *[v.alias(k) for k, v in sums.items()]), [c, day]))
+    out = attach_all(out, tables, weight="_n", **options)
+    rate = lambda c: (F.coalesce(F.col(f"_y_{c}"), F.lit(0)) + weight * F.col("_mean")) / (F.coalesce(F.col(f"_k_{c}"), F.lit(0)) + weight)
+    return out.select(*df.columns, *[rate(c).alias(c + suffix) for c in cols])
+
+
 def moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation per column (one row on the driver)."""
     aggs = [f(c).alias(f"{name}{i}") for i, c in enumerate(cols) for name, f in (("m", F.avg), ("s", F.stddev_pop))]

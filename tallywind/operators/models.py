@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -19,8 +19,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywind.operators.splits import hash_fold
-from tallywind.storage import store
+from tallywind.operators.boosting import Boosted, boost, prefix
+from tallywind.operators.splits import hash_fold, stratified_fold
+from tallywind.storage import side_by_side, store
 
 LABEL = "is_trade"
 
@@ -42,26 +43,44 @@ class GBTParams:
 
 @dataclass(frozen=True)
 class Scorer:
-    """A fitted model and the columns it reads."""
+    """A fitted model, the columns it reads, and how many codes each of those has that are categories."""
 
     model: Model
     features: tuple[str, ...]
+    categories: Mapping[str, int] = field(default_factory=dict)
 
     def vectors(self, df: DataFrame) -> DataFrame:
-        return vectorize(df, self.features)
+        return vectorize(df, self.features, categories=self.categories)
 
 
-def vectorize(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """Feature vector with nulls taken as the sentinel -1, since trees do not route missing values."""
-    known = {f"_f_{i}": f"coalesce(double(`{c}`), -1D) as _f_{i}" for i, c in enumerate(features)}
+def vectorize(df: DataFrame, features: Sequence[str], out: str = "features", categories: Mapping[str, int] | None = None) -> DataFrame:
+    """Feature vector with nulls taken as the sentinel -1, since trees do not route missing values.
+
+    ``categories`` names columns of codes 0..n-1 with their n: trees split those by sets of codes and not by size. A null, or
+    a code from n on, takes the last code.
+    """
+    categories = categories or {}
+    known = {}
+    for i, c in enumerate(features):
+        last = categories.get(c, 0) - 1
+        code = f"case when `{c}` between 0 and {last} then double(`{c}`) else {last}D end" if c in categories else f"coalesce(double(`{c}`), -1D)"
+        known[f"_f_{i}"] = f"{code} as _f_{i}"
     wide = df.selectExpr("*", *known.values())
+    for i, c in enumerate(features):
+        if c in categories:
+            wide = wide.withMetadata(f"_f_{i}", {"ml_attr": {"type": "nominal", "name": c, "num_vals": categories[c]}})
     return VectorAssembler(inputCols=list(known), outputCol=out, handleInvalid="keep").transform(wide).drop(*known)
 
 
-def training_rows(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
-    """Vector and label of the labelled rows, written once: fitting passes over them many times."""
-    rows = vectorize(df.filter(F.col(label).isNotNull()), features)
-    return store(rows.select("features", F.col(label).cast("double"))).df
+def training_rows(df: DataFrame, features: Sequence[str], label: str = LABEL, categories: Mapping[str, int] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Vector and label of the labelled rows, and columns to ``keep``, written once: fitting passes over them many times."""
+    rows = vectorize(df.filter(F.col(label).isNotNull()), features, categories=categories)
+    return store(rows.select("features", F.col(label).cast("double"), *keep)).df
+
+
+def with_room(params: GBTParams, categories: Mapping[str, int] | None) -> GBTParams:
+    """Settings whose bins hold the codes of every category."""
+    return replace(params, bins=max([params.bins, *(categories or {}).values()]))
 
 
 def gbt(params: GBTParams, label: str = LABEL, **extra) -> GBTClassifier:
@@ -80,13 +99,15 @@ def gbt(params: GBTParams, label: str = LABEL, **extra) -> GBTClassifier:
     )
 
 
-def _fit(estimator: Estimator, train: DataFrame, features: Sequence[str], label: str = LABEL) -> Scorer:
-    return Scorer(estimator.fit(training_rows(train, features, label)), tuple(features))
+def _fit(estimator: Estimator, train: DataFrame, features: Sequence[str], label: str = LABEL, categories: Mapping[str, int] | None = None) -> Scorer:
+    return Scorer(estimator.fit(training_rows(train, features, label, categories)), tuple(features), categories or {})
 
 
-def fit_gbt(train: DataFrame, features: Sequence[str], label: str = LABEL, params: GBTParams = GBTParams(), **extra) -> Scorer:
-    """Boosted trees with log-loss, probability output."""
-    return _fit(gbt(params, label, **extra), train, features, label)
+def fit_gbt(
+    train: DataFrame, features: Sequence[str], label: str = LABEL, params: GBTParams = GBTParams(), categories: Mapping[str, int] | None = None, **extra
+) -> Scorer:
+    """Boosted trees with log-loss, probability output; ``categories`` as in ``vectorize``."""
+    return _fit(gbt(with_room(params, categories), label, **extra), train, features, label, categories)
 
 
 def fit_gbt_early_stop(
@@ -98,27 +119,24 @@ def fit_gbt_early_stop(
     refit_on: DataFrame | None = None,
     patience: int | None = None,
     most: int = 20_000,
+    categories: Mapping[str, int] | None = None,
+    start: Boosted = Boosted(),
 ) -> tuple[Scorer, int, list[float]]:
     """Fit, keep the number of trees with the least validation loss, and refit with that number.
 
-    With ``patience`` the number of trees is doubled, up to ``most``, until the best is followed by that many that are no
-    better; trees of one seed are the same whatever their number, so a longer fit only adds to a shorter one. The refit
-    uses ``refit_on`` (all labelled rows) if given, else ``train``. Returns the model, the tree count and the validation
-    loss after each tree.
+    With ``patience`` trees are added, up to ``most``, until the best number is followed by that many that are no better;
+    else there are ``params.trees``. Trees are fitted one by one on stored margins, going on from those of ``start``, and never
+    again. With ``refit_on`` (all labelled rows) the model is fitted anew on those rows; else it is made of the first
+    trees. Returns the model, the tree count and the validation loss after each tree.
     """
-    rows, held = training_rows(train, features, label), training_rows(valid, features, label)
-    trees = params.trees
-    while True:
-        full = Scorer(gbt(replace(params, trees=trees), label).fit(rows), tuple(features))
-        losses = list(full.model.evaluateEachIteration(held))
-        best = losses.index(min(losses)) + 1
-        if patience is None or best <= trees - patience or trees >= most:
-            break
-        trees = min(max(2 * trees, patience + 1), most)
-    if refit_on is None and best == trees:
-        return full, best, losses
-    final = fit_gbt(train if refit_on is None else refit_on, features, label, replace(params, trees=best))
-    return final, best, losses
+    params = with_room(params, categories)
+    rows, held = (training_rows(df, features, label, categories) for df in (train, valid))
+    grown = boost(rows, held, params, params.trees if patience is None else most, label, patience, start)
+    if refit_on is not None:
+        final = fit_gbt(refit_on, features, label, replace(params, trees=grown.best), categories)
+    else:
+        final = Scorer(grown.first(grown.best).model(train), tuple(features), categories or {})
+    return final, grown.best, list(grown.losses)
 
 
 def fit_lr(train: DataFrame, features: Sequence[str], label: str = LABEL, max_iter: int = 100, reg: float = 0.0) -> Scorer:
@@ -152,8 +170,8 @@ def predict(scorer: Scorer, df: DataFrame, name: str = "prediction") -> DataFram
 
 def feature_importance(scorer: Scorer, df: DataFrame) -> DataFrame:
     """Table (n, s) of feature names and scores, highest first. ``df`` only lends its session."""
-    scores = scorer.model.featureImportances.toArray()
-    rows = [(n, float(s)) for n, s in zip(scorer.features, scores, strict=True)]
+    scores = dict(enumerate(scorer.model.featureImportances.toArray()))  # ends with the last feature that is used
+    rows = [(n, float(scores.get(i, 0.0))) for i, n in enumerate(scorer.features)]
     return df.sparkSession.createDataFrame(rows, "n string, s double").orderBy(F.desc("s"), "n")
 
 
@@ -200,10 +218,13 @@ def blend(
     held_out = []
     tests = test
     fold_scores: dict[str, list[str]] = {name: [] for name in bases}
+    # The fits do not depend on each other: they run side by side.
+    fits = [(i, name) for i in range(k) for name in bases]
+    fitted = dict(zip(fits, side_by_side(lambda f: bases[f[1]](folded.filter(F.col(fold) != f[0]), features), fits), strict=True))
     for i in range(k):
-        rest, part = folded.filter(F.col(fold) != i), folded.filter(F.col(fold) == i)
-        for name, fit in bases.items():
-            scorer = fit(rest, features)
+        part = folded.filter(F.col(fold) == i)
+        for name in bases:
+            scorer = fitted[i, name]
             part = predict_proba(scorer, part, name)
             tests = predict_proba(scorer, tests, f"_{name}_{i}")
             fold_scores[name].append(f"_{name}_{i}")
@@ -244,3 +265,36 @@ def grid_search(
     fitted: CrossValidatorModel = search.fit(training_rows(train, features, label))
     settings = [{p.name: v for p, v in m.items()} for m in fitted.getEstimatorParamMaps()]
     return Scorer(fitted.bestModel, tuple(features)), list(zip(settings, fitted.avgMetrics, strict=True))
+
+
+def grid_by_trees(
+    train: DataFrame,
+    features: Sequence[str],
+    counts: Sequence[int] = (100, 300, 500),
+    params: GBTParams = GBTParams(depth=3),
+    label: str = LABEL,
+    k: int = 5,
+    id_col: str = "instance_id",
+    categories: Mapping[str, int] | None = None,
+) -> tuple[Scorer, list[tuple[int, float]]]:
+    """Search over numbers of trees with stratified folds: the model of the best number on all rows, and (number, mean accuracy).
+
+    Trees of one seed are the same whatever their number, so each fold is fitted once, with the largest number, and the
+    smaller ones are read from its first trees. The least of equally accurate numbers is best.
+    """
+    params = with_room(params, categories)
+    folded = stratified_fold(train.filter(F.col(label).isNotNull()), k, label, id_col, "_fold")
+    rows = training_rows(folded, features, label, categories, keep=["_fold"])
+    counts = sorted(counts)
+
+    def accuracies(fold: int) -> list[float | None]:
+        model = gbt(replace(params, trees=counts[-1]), label).fit(rows.filter(F.col("_fold") != fold))
+        held = rows.filter(F.col("_fold") == fold)
+        right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+        return [prefix(model, n, train).transform(held).agg(right).first()[0] for n in counts]
+
+    measured = side_by_side(accuracies, range(k))
+    hits = {n: [m[i] for m in measured if m[i] is not None] for i, n in enumerate(counts)}
+    means = [(n, sum(h) / len(h)) for n, h in hits.items() if h]
+    best = max(means, key=lambda m: (m[1], -m[0]))[0]
+    return Scorer(gbt(replace(params, trees=best), label).fit(rows), tuple(features), categories or {}), means

@@ -38,3 +38,16 @@ def hash_fold(df: DataFrame, k: int = 5, id_col: str = "instance_id", fold: str
     """Folds by hash of the id: no sort and no shuffle. The hash is the first 32 bits of the id's md5."""
     digits = F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("bigint")
     return df.withColumn(fold, (digits % k).cast("int"))
+
+
+def stratified_fold(df: DataFrame, k: int = 5, label: str = "is_trade", id_col: str = "instance_id", fold: str = "fold") -> DataFrame:
+    """Folds with the same share of every label, to one row: the rank by id within the label, dealt round.
+
+    Ranks are distributed positions (``row_index``) less the label's first; ids must not repeat within a label. A null label is a
+    label of its own.
+    """
+    indexed = row_index(df, [label, id_col], "_index")
+    # A row per label.
+    first = indexed.groupBy(label).agg(F.min("_index").alias("_first")).withColumnRenamed(label, "_label")
+    placed = indexed.join(F.broadcast(first), F.col(label).eqNullSafe(F.col("_label")))
+    return placed.withColumn(fold, ((F.col("_index") - F.col("_first")) % k).cast("int")).drop("_index", "_first", "_label")

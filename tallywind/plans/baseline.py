@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
 from tallywind.functions.time import check_day_number, with_clock
 from tallywind.operators.clean import dedupe_rows, split_labelled
+from tallywind.operators.encode import nominal
 from tallywind.operators.history import same_period_count
 from tallywind.operators.models import GBTParams, Scorer, fit_gbt, predict_proba
 from tallywind.operators.splits import split_by_day
@@ -30,11 +31,20 @@ def score_baseline(
     online: bool = False,
     fit: Callable[..., Scorer] | None = None,
     params: GBTParams = PARAMS,
+    categories: Sequence[str] = (),
 ) -> DataFrame:
-    """Scores of the validation day, or of the unlabelled rows when ``online``."""
+    """Scores of the validation day, or of the unlabelled rows when ``online``.
+
+    Trees split ``categories`` by sets of values, coded on the training rows.
+    """
     train, rest = split_labelled(features)
     if not online:
         train, rest = split_by_day(train, plan.valid)
+    if categories:
+        (coded, rest), sizes = nominal(train, [train, rest], categories)
+        names = [f"{c}_cat" if f"{c}_cat" in sizes else c for c in BASELINE_FEATURES]
+        scored = predict_proba(fit_gbt(coded, names, params=params, categories=sizes), rest)
+        return scored.drop(*sizes)
     scorer = fit(train, BASELINE_FEATURES) if fit else fit_gbt(train, BASELINE_FEATURES, params=params)
     return predict_proba(scorer, rest)
 

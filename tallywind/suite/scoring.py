@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -17,7 +16,8 @@ from tallywind.storage import store
 from tallywind.suite.registry import case, log_case, on_log
 
 V, T = PLAN.valid, PLAN.test
-SMALL = models.GBTParams(trees=5, depth=3)
+#: Rounds without a better validation loss after which boosting ends.
+PATIENCE = 50
 
 
 @log_case("split_by_day", on_log(f"select instance_id, case when day = {V} then 'valid' else 'train' end as part from log where day <= {V}"))
@@ -51,6 +51,14 @@ def _(log):
     return splits.kfold(log.select("instance_id"))
 
 
+@log_case(
+    "stratified_fold",
+    on_log("select instance_id, cast((row_number() over (partition by is_trade order by instance_id) - 1) % 5 as int) as fold from log where is_trade is not null"),
+)
+def _(log):
+    return splits.stratified_fold(log.filter(F.col("is_trade").isNotNull()).select("instance_id", "is_trade")).select("instance_id", "fold")
+
+
 @log_case("hash_fold", on_log("select instance_id, cast(('0x' || substr(md5(cast(instance_id as varchar)), 1, 8))::bigint % 5 as int) as fold from log"))
 def _(log):
     return splits.hash_fold(log).select("instance_id", "fold")
@@ -79,14 +87,39 @@ def _(log):
     return encode.standardize(log.filter(F.col("day") == V), _SCALED).select("instance_id", *_SCALED)
 
 
-# All components together are a rotation: each row keeps its length.
-@log_case("pca", on_log("select instance_id, round(" + " + ".join(f"({_z(c, 'train')}) ** 2" for c in _SCALED) + ", 6) as squared_length from log", _TRAIN))
+# Two standardised columns have their components along the diagonals, the one of the correlation's sign first.
+_PAIR = ["shop_score_service", "shop_score_delivery"]
+_A, _B = (_z(c, "train") for c in _PAIR)
+
+
+@log_case(
+    "pca",
+    on_log(
+        f"""select instance_id, round(case when r >= 0 then abs(a + b) else abs(a - b) end / sqrt(2e0), 6) as pca_0,
+        round(case when r >= 0 then abs(a - b) else abs(a + b) end / sqrt(2e0), 6) as pca_1
+        from (select instance_id, {_A} as a, {_B} as b, (select corr({_PAIR[0]}, {_PAIR[1]}) from train) as r from log)""",
+        _TRAIN,
+    ),
+)
 def _(log):
     train = log.filter(F.col("day") < V)
-    scaled = encode.standardize(log, _SCALED, fit_on=train)
-    projected = encode.pca(scaled, _SCALED, len(_SCALED), fit_on=encode.standardize(train, _SCALED))
-    squares = F.transform(vector_to_array("pca"), lambda v: v * v)
-    return projected.select("instance_id", F.aggregate(squares, F.lit(0.0), lambda a, b: a + b).alias("squared_length"))
+    scaled = encode.standardize(log, _PAIR, fit_on=train)
+    values = vector_to_array("pca")
+    projected = encode.pca(scaled, _PAIR, 2, fit_on=encode.standardize(train, _PAIR))
+    return projected.select("instance_id", F.abs(values[0]).alias("pca_0"), F.abs(values[1]).alias("pca_1"))  # signs are arbitrary
+
+
+@log_case(
+    "target_statistic",
+    on_log(
+        """select instance_id, round((coalesce(y, 0) + 10 * coalesce(m, 0)) / (coalesce(k, 0) + 10), 6) as user_id_rate from log
+        left join (select a.user_id, a.day, count(b.is_trade) as k, sum(b.is_trade) as y from (select distinct user_id, day from log) a
+          join log b on b.user_id = a.user_id and b.day < a.day group by 1, 2) using (user_id, day)
+        left join (select a.day, avg(b.is_trade) as m from (select distinct day from log) a join log b on b.day < a.day group by 1) using (day)"""
+    ),
+)
+def _(log):
+    return encode.target_statistic(store(log).df, ["user_id"]).select("instance_id", "user_id_rate")
 
 
 # A score that needs no model: the smoothed conversion rate of the item over the three days before.
@@ -154,16 +187,27 @@ def _parts(spark, sf):
     return splits.split_by_day(labelled, V)
 
 
+_fitted: dict[tuple[str, str], models.Scorer] = {}
+
+
+def _boosted(spark, sf, train) -> models.Scorer:
+    """The baseline model, which several queries look at; fitted once in a session."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _fitted:
+        _fitted[key] = models.fit_gbt(train, BASELINE_FEATURES, params=baseline.PARAMS)
+    return _fitted[key]
+
+
 @case("fit_gbt")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    return models.predict_proba(models.fit_gbt(train, BASELINE_FEATURES, params=SMALL), valid).select("instance_id", "predicted_score")
+    return models.predict_proba(_boosted(spark, sf, train), valid).select("instance_id", "predicted_score")
 
 
 @case("fit_gbt_early_stop")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    scorer, best, losses = models.fit_gbt_early_stop(train, valid, BASELINE_FEATURES, params=SMALL, refit_on=train.unionByName(valid))
+    scorer, best, losses = models.fit_gbt_early_stop(train, valid, BASELINE_FEATURES, params=baseline.PARAMS, refit_on=train.unionByName(valid), patience=PATIENCE)
     scored = models.predict_proba(scorer, valid).select("instance_id", "predicted_score")
     return scored.withColumns({"trees": F.lit(best), "best_loss": F.lit(min(losses))})
 
@@ -171,36 +215,25 @@ def _(spark, sf):
 @case("fit_lr")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    return models.predict_proba(models.fit_lr(train, BASELINE_FEATURES, max_iter=20), valid).select("instance_id", "predicted_score")
+    return models.predict_proba(models.fit_lr(train, BASELINE_FEATURES), valid).select("instance_id", "predicted_score")
 
 
 @case("fit_fm")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    return ensembles.fm_scores(train, valid, max_iter=20).select("instance_id", "predicted_score")
-
-
-# Every row falls into exactly one leaf of each tree.
-@case("leaf_encode", on_log(f"select instance_id, {SMALL.trees}e0 as leaves_hit from log where day = {V}"))
-def _(spark, sf):
-    train, valid = _parts(spark, sf)
-    trees = models.fit_gbt(train, BASELINE_FEATURES, params=SMALL, leafCol="leaf")
-    vectors = [models.vectorize(df, BASELINE_FEATURES) for df in (train, valid)]
-    encoded = encode.leaf_encode(trees.model, vectors, vectors[1])
-    ones = F.aggregate(vector_to_array("leaves"), F.lit(0.0), lambda a, b: a + b)
-    return encoded.select("instance_id", ones.alias("leaves_hit"))
+    return ensembles.fm_scores(train, valid).select("instance_id", "predicted_score")
 
 
 @case("leaf_lr")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    return ensembles.leaf_lr_scores(train, valid, params=SMALL, max_iter=10).select("instance_id", "predicted_score")
+    return ensembles.leaf_lr_scores(train, valid).select("instance_id", "predicted_score")
 
 
 @case("select_by_importance")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    scorer = models.fit_gbt(train, BASELINE_FEATURES, params=SMALL)
+    scorer = _boosted(spark, sf, train)
     sliced, kept = encode.select_by_importance(scorer.vectors(valid), scorer.model, BASELINE_FEATURES)
     values = vector_to_array("selected")
     return sliced.select("instance_id", *[values[i].alias(c) for i, c in enumerate(kept)])
@@ -209,7 +242,7 @@ def _(spark, sf):
 @case("pca_scores")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    return ensembles.pca_scores(train, valid, params=SMALL, refit=True).select("instance_id", "predicted_score")
+    return ensembles.pca_scores(train, valid, refit=True).select("instance_id", "predicted_score")
 
 
 # One tree that is deep enough for the values of its only feature scores every value by its rows' mean label m:
@@ -231,6 +264,27 @@ def _(spark, sf):
     return models.predict_proba(models.fit_gbt(train, ["user_gender_id"], params=ONE_TREE), features).select("instance_id", "predicted_score")
 
 
+# Leaves are numbered from left to right, so the leaf of a value is its rank.
+@case("leaf_encode", on_log(f"""select instance_id, cast(r as int) as leaf from log join (select user_gender_id, dense_rank() over (order by user_gender_id) - 1 as r
+    from (select distinct user_gender_id from log where day < {V})) using (user_gender_id) where day = {V}"""))
+def _(spark, sf):
+    train, valid = _parts(spark, sf)
+    trees = models.fit_gbt(train, ["user_gender_id"], params=ONE_TREE, leafCol="leaf")
+    vectors = [models.vectorize(df, ["user_gender_id"]) for df in (train, valid)]
+    encoded = encode.leaf_encode(trees.model, vectors, vectors[1])
+    return encoded.select("instance_id", (F.array_position(vector_to_array("leaves"), F.lit(1.0)) - 1).cast("int").alias("leaf"))
+
+
+# A single split by a set of codes tells these rows apart, which a split by size cannot.
+@case("fit_gbt_categories", on_log(f"""select instance_id, cast(item_id % 5 in (0, 2, 4) as int) as prediction,
+    round(1 / (1 + exp(case when item_id % 5 in (0, 2, 4) then -2e0 else 2e0 end)), 6) as predicted_score from log where day = {V}"""))
+def _(spark, sf):
+    train, valid = (df.withColumns({"code": F.col("item_id") % 5, "is_trade": (F.col("item_id") % 5).isin(0, 2, 4).cast("int")}) for df in _parts(spark, sf))
+    scorer = models.fit_gbt(train, ["code"], params=models.GBTParams(trees=1, depth=1), categories={"code": 5})
+    classes = models.predict(scorer, models.predict_proba(scorer, valid))
+    return classes.select("instance_id", "prediction", "predicted_score")
+
+
 # All gain is the only informative column's.
 @case("feature_importance_exact", "select * from (values ('user_gender_id', 1e0), ('is_constant', 0e0)) as t(n, s)")
 def _(spark, sf):
@@ -242,62 +296,61 @@ def _(spark, sf):
 @case("feature_importance")
 def _(spark, sf):
     train, _ = _parts(spark, sf)
-    return models.feature_importance(models.fit_gbt(train, BASELINE_FEATURES, params=SMALL), train)
+    return models.feature_importance(_boosted(spark, sf, train), train)
 
 
 @case("stack")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    bases = ensembles.default_bases(models.GBTParams(trees=3, depth=3), max_iter=10)
-    bases.pop("deep")
-    second = RandomForestClassifier(labelCol="is_trade", numTrees=10, maxDepth=4, seed=2018)
-    return ensembles.stacked_scores(train, valid, bases=bases, k=3, second=second).select("instance_id", "predicted_score")
+    return ensembles.stacked_scores(train, valid).select("instance_id", "predicted_score")
+
+
+# A training row's score comes from the rows of its gender in the other folds, a test row's is the mean over the folds.
+_FOLDS = f"""f as (select *, ('0x' || substr(md5(cast(instance_id as varchar)), 1, 8))::bigint % 5 as fold from log where day <= {V}),
+r as (select g.user_gender_id, k.fold, 1 / (1 + exp(-2 * avg(2e0 * f.is_trade - 1))) as p from (select distinct user_gender_id from f where day < {V}) g
+  cross join (select unnest(range(0, 5)) as fold) k join f on f.user_gender_id = g.user_gender_id and f.fold <> k.fold and f.day < {V} group by 1, 2)"""
 
 
-# Out-of-fold scores cover every training row once; test rows get a mean over the folds.
-@case("blend", on_log(f"select instance_id, 1 as is_probability from log where day <= {V}"))
+@case("blend", on_log(f"""select instance_id, round(p, 6) as predicted_score from f join r using (user_gender_id, fold) where day < {V}
+    union all select instance_id, round(m, 6) from f join (select user_gender_id, avg(p) as m from r group by 1) using (user_gender_id) where day = {V}""", _FOLDS))
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    bases = {"trees": lambda rows, names: models.fit_gbt(rows, names, params=models.GBTParams(trees=3, depth=3))}
-    oof, blended = models.blend(train, valid, bases, BASELINE_FEATURES, k=3)
-    flag = F.col("trees").between(0, 1).cast("int").alias("is_probability")
-    return oof.select("instance_id", flag).unionByName(blended.select("instance_id", flag))
+    bases = {"trees": lambda rows, names: models.fit_gbt(rows, names, params=ONE_TREE)}
+    oof, blended = models.blend(train, valid, bases, ["user_gender_id"])
+    score = F.col("trees").alias("predicted_score")
+    return oof.select("instance_id", score).unionByName(blended.select("instance_id", score))
 
 
 @case("grid_search")
 def _(spark, sf):
     train, valid = _parts(spark, sf)
-    grid = {"maxIter": [2, 4]}
-    best, settings = models.grid_search(train, BASELINE_FEATURES, grid, estimator=models.gbt(SMALL), k=3)
+    best, means = models.grid_by_trees(train, BASELINE_FEATURES)
     scored = models.predict(best, valid).select("instance_id", "prediction")
-    return scored.withColumn("best_accuracy", F.lit(max(metric for _, metric in settings)))
+    return scored.withColumn("best_accuracy", F.lit(max(mean for _, mean in means)))
 
 
 @case("score_baseline")
 def _(spark, sf):
     features = store(baseline.baseline_features(raw_log(spark, sf))).df
-    return baseline.score_baseline(features, PLAN, online=True, params=SMALL).select("instance_id", "predicted_score")
+    return baseline.score_baseline(features, PLAN, online=True, categories=["user_gender_id"]).select("instance_id", "predicted_score")
 
 
 @case("rolling_day_scores")
 def _(spark, sf):
     features = store(baseline.baseline_features(raw_log(spark, sf))).df
-    return evaluate.daily_log_loss(baseline.rolling_day_scores(features, PLAN, SMALL))
+    return evaluate.daily_log_loss(baseline.rolling_day_scores(features, PLAN))
 
 
 @case("score_point_in_time")
 def _(spark, sf):
     features = store(point_in_time.point_in_time_features(raw_log(spark, sf), PLAN)).df
-    _, _, test = point_in_time.score_point_in_time(features, PLAN, models.GBTParams(trees=5, depth=2), patience=None)
+    _, _, test = point_in_time.score_point_in_time(features, PLAN)
     return test.select("instance_id", "predicted_score")
 
 
-# Every unlabelled id gets a score, those without shop scores 0.
-@case("score_cross_features", on_log(f"""select instance_id, case when shop_score_delivery <> -1 and shop_score_service <> -1 and shop_score_description <> -1
-    and shop_review_positive_rate <> -1 then 1 else 0 end as scored from log where day = {T}"""))
+@case("score_cross_features")
 def _(spark, sf):
     raw = raw_log(spark, sf)
     features = cross_features.cross_features(raw, PLAN)
     ids = raw.filter(F.col("is_trade").isNull()).select("instance_id").distinct()
-    scores = cross_features.score_cross_features(features, ids, PLAN, models.GBTParams(trees=3, depth=3), patience=None)
-    return scores.select("instance_id", (F.col("predicted_score") > 0).cast("int").alias("scored"))
+    return cross_features.score_cross_features(features, ids, PLAN).select("instance_id", "predicted_score")
