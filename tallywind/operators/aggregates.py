@@ -8,14 +8,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywind.operators.joins import attach
+from tallywind.operators.ordering import running_total
+from tallywind.storage import store
+
 Keys = str | Sequence[str]
 
 
-def grouped(df: DataFrame, keys: Keys, *aggs: Column) -> DataFrame:
-    """``groupBy(keys).agg(aggs)`` over rows whose keys are all known."""
+def grouped(df: DataFrame, keys: Keys, *aggs: Column, value: str | None = None) -> DataFrame:
+    """``groupBy(keys).agg(aggs)`` over rows whose keys are all known; by ``value`` too if one is named."""
     names = [keys] if isinstance(keys, str) else list(keys)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in names])
-    return df.filter(known).groupBy(*names).agg(*aggs)
+    return df.filter(known).groupBy(*names, *([value] if value else [])).agg(*aggs)
 
 
 def group_size(df: DataFrame, keys: Keys, name: str) -> DataFrame:
@@ -46,13 +50,30 @@ def group_std(df: DataFrame, key: Keys, *cols: str) -> DataFrame:
 
 
 def group_mean_median_std(df: DataFrame, keys: Keys, col: str) -> DataFrame:
-    return grouped(
-        df,
-        keys,
-        F.avg(col).alias(f"{col}_mean"),
-        F.median(col).alias(f"{col}_median"),
-        F.stddev_samp(col).alias(f"{col}_std"),
-    )
+    """Mean, exact median and sample deviation; the median by distributed selection."""
+    names = [keys] if isinstance(keys, str) else list(keys)
+    rest = store(grouped(df, names, F.avg(col).alias(f"{col}_mean"), F.stddev_samp(col).alias(f"{col}_std")))
+    out = attach(rest.df, group_median(df, names, col), names, spread_by=names)
+    return out.select(*names, f"{col}_mean", f"{col}_median", f"{col}_std")
+
+
+def group_median(df: DataFrame, keys: Keys, col: str, **join_options) -> DataFrame:
+    """(keys, ``<col>_median``): the exact median, by selection in a distributed order.
+
+    Rows shrink to one per (keys, value) with its count before they are shuffled. Those are range-partitioned, so a group's
+    values lie in as many tasks as they need, and running counts over the ranges tell which value stands in the middle. No
+    task holds a group. Nulls do not count; a group without a value has no row.
+    """
+    names = [keys] if isinstance(keys, str) else list(keys)
+    counts = grouped(df.where(F.col(col).isNotNull()), names, F.count(F.lit(1)).alias("_n"), value=col)
+    placed = store(running_total(counts, [*names, col], "_n", "_before")).df
+    whole = placed.groupBy(*names).agg(F.min("_before").alias("_start"), F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+    at = attach(placed, whole, names, weight="_values", spread_by=[col], **join_options)
+    first, behind = F.col("_before") - F.col("_start"), F.col("_before") - F.col("_start") + F.col("_n")
+    low, high = F.floor((F.col("_rows") - 1) / 2), F.floor(F.col("_rows") / 2)
+    holds = lambda place: F.max(F.when((first <= place) & (place < behind), F.col(col).cast("double")))
+    middle = at.where((first <= high) & (low < behind)).groupBy(*names).agg(holds(low).alias("_low"), holds(high).alias("_high"))
+    return middle.select(*names, ((F.col("_low") + F.col("_high")) / 2).alias(f"{col}_median"))
 
 
 def scalar_agg(df: DataFrame, agg: Column):

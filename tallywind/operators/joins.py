@@ -1,8 +1,9 @@
 """Joins of small-per-key tables back onto the log.
 
 ``attach`` is the join that meets the whole log. It looks at the exact size of the table: up to a byte
-limit the table is broadcast, beyond it the log is shuffled by key with the most frequent keys
-taken out, so that no task receives more than its share however skewed the keys are.
+limit the table is broadcast, beyond it the log is shuffled by key with the heavy keys taken out, so that no task receives
+more than its share however skewed the keys are. A key is heavy if it has more than ``1 / (SHARE * partitions)`` of
+the rows: every such key is known by an exact count, and by that bound there are at most ``SHARE * partitions`` of them.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallywind.storage import Stored, store_all
+from tallywind.storage import Stored, store, store_all
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1024
+SHARE = 4
 SPREAD = 1 << 20
 
 
@@ -28,7 +30,7 @@ def attach(
     null_safe: bool = False,
     spread_by: Sequence[str] = ("instance_id",),
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
+    hot_keys: int | None = None,
 ) -> DataFrame:
     """Left join of ``table`` (one row per key) onto ``df``.
 
@@ -46,7 +48,7 @@ def attach_all(
     null_safe: bool = False,
     spread_by: Sequence[str] = ("instance_id",),
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
+    hot_keys: int | None = None,
 ) -> DataFrame:
     """``attach`` for several tables: those small enough are joined in one pass over ``df``.
 
@@ -78,16 +80,17 @@ def _values(table: Stored, keys: Sequence[str], weight: str | None) -> list[str]
 
 
 def _attach_split(df, table, keys, values, weight, null_safe, spread_by, hot_keys) -> DataFrame:
-    """Shuffle join with at most ``hot_keys`` frequent keys answered from a broadcast instead.
+    """Shuffle join with the heavy keys answered from a broadcast instead.
 
-    The broadcast is bounded by ``hot_keys`` rows. Rows with a hot (or null) key get a bucket from
+    The broadcast is bounded by ``SHARE`` times the shuffle partitions, or by ``hot_keys`` rows, the most frequent, if given. Rows with a hot (or null) key get a bucket from
     their own id rather than from the key, which spreads them evenly; all others meet the table.
     """
     packed = table.select(*keys, F.struct(*values).alias("_cold"))
     if weight is not None:
-        hot = table.orderBy(F.desc(weight), *keys).limit(hot_keys)
+        counted = table.select(*keys, *values, F.col(weight).alias("_count"))
+        hot = _heaviest(counted, hot_keys).drop("_count")
     else:
-        frequent = df.groupBy(*keys).count().orderBy(F.desc("count"), *keys).limit(hot_keys)
+        frequent = _heaviest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count")), hot_keys)
         hot = _match(frequent.select(*keys), _keyed(table, keys), keys, null_safe, how="inner")
     hot = hot.select(*keys, F.struct(*values).alias("_hot"))
 
@@ -121,9 +124,40 @@ def _match(left, keyed_right, keys, null_safe, how="left") -> DataFrame:
     return left.join(keyed_right, _condition(keys, null_safe), how)
 
 
+def _heaviest(counted: DataFrame, most: int | None = None) -> DataFrame:
+    """The keys (with their ``_count`` of rows) above the bound of a heavy key, or the ``most`` most frequent of all."""
+    if most is not None:
+        return counted.orderBy(F.desc("_count"), *[c for c in counted.columns if c != "_count"][:1]).limit(most)
+    partitions = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counted.agg(F.sum("_count")).first()[0] or 0
+    return counted.where(F.col("_count") * (SHARE * partitions) > total)
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str]) -> Stored:
+    """(keys, ``_count``, ``_parts``) of every key that has more than its share of the rows of ``df``; ``_parts`` shares cover it."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counted = store(df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"))).df
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counted.agg(F.sum("_count")).first()[0] or 1
+    return store(_heaviest(counted).withColumn("_parts", F.ceil(F.col("_count") * (SHARE * partitions) / total).cast("int")))
+
+
 def left_join(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left equi-join on one or more keys; a null key finds nothing."""
-    return df.join(table, list(on), "left")
+    """Left equi-join on one or more keys; a null key finds nothing. ``table`` may have any number of rows per key.
+
+    Rows of heavy keys are dealt over as many parts as the key has shares, and the table's rows of that key are given to
+    each part; all parts of all keys are at most twice the bound on heavy keys. Rows with a null key are dealt out by themselves.
+    """
+    on = list(on)
+    hot = heavy_keys(df, on)
+    if not hot.rows and not any(df.schema[k].nullable for k in on):
+        return df.join(table, on, "left")
+    parts = F.broadcast(hot.df.select(*on, F.col("_parts").alias("_of")))
+    own = F.xxhash64(*[c for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    dealt = df.join(parts, on, "left").withColumn("_part", F.when(null, F.pmod(own, F.lit(SPREAD))).otherwise(F.pmod(own, F.coalesce("_of", F.lit(1)))).cast("int")).drop("_of")
+    given = table.join(parts, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_of", F.lit(1)) - 1))).drop("_of")
+    return dealt.join(given, [*on, "_part"], "left").drop("_part")
 
 
 def outer_join_fill(tables: Sequence[DataFrame], on: Sequence[str], fill=0) -> DataFrame:

@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from tallywind.functions import bins
 from tallywind.operators import clean, encode
 from tallywind.schema import BASELINE_FEATURES, LOG_SCHEMA, SENTINEL_REPLACEMENTS, USER_LEVELS
 from tallywind.sources.standin import PLAN, clean_log, raw_log
-from tallywind.sources.text import read_log, read_log_ws, write_scores
+from tallywind.sources.text import read_log, read_log_checked, read_log_in_order, read_log_ws, write_scores, write_scores_file
 from tallywind.storage import shared_dir
 from tallywind.suite.registry import case, log_case, on_log
 
@@ -29,6 +30,42 @@ def _(spark, sf):
     return read_log(spark, path)
 
 
+# The file is laid out by id, copies together, so the number of a row is its rank.
+@case("read_log_in_order", on_log("select *, row_number() over (order by instance_id) - 1 as row_number from raw"))
+def _(spark, sf):
+    path = _fresh(spark)
+    raw_log(spark, sf).repartitionByRange(5, "instance_id").sortWithinPartitions("instance_id").write.csv(path, sep=" ", header=True)
+    return read_log_in_order(spark, path)
+
+
+# The first row of every user in the file.
+@case("dedupe_by_file_order", on_log("select * from raw qualify row_number() over (partition by user_id order by instance_id desc) = 1"))
+def _(spark, sf):
+    path = _fresh(spark)
+    order = F.desc("instance_id")
+    raw_log(spark, sf).repartitionByRange(5, order).sortWithinPartitions(order).write.csv(path, sep=" ", header=True)
+    return clean.dedupe_by(read_log_in_order(spark, path), ["user_id"], ["row_number"]).drop("row_number")
+
+
+# Every fifth line is broken: a field too many, or a word for the item's id.
+@case("read_log_checked", on_log("""select instance_id, item_id, null as reason from raw where instance_id % 10 not in (3, 8)
+    union all select instance_id, null, case when instance_id % 10 = 3 then 'item_id is none' else '28 fields, not 27' end from raw where instance_id % 10 in (3, 8)"""))
+def _(spark, sf):
+    path = _fresh(spark)
+    names = LOG_SCHEMA.names
+    spoilt = F.when(F.col("instance_id") % 10 == 3, "none").otherwise(F.col("item_id").cast("string"))
+    fields = [spoilt if c == "item_id" else F.col(c).cast("string") for c in names]
+    line = F.concat_ws(" ", *[F.coalesce(f, F.lit("")) for f in fields])
+    lines = raw_log(spark, sf).select(F.when(F.col("instance_id") % 10 == 8, F.concat(line, F.lit(" 1"))).otherwise(line).alias("value"))
+    lines.write.text(f"{path}/lines")
+    # A header in every file, as the reader expects.
+    with_header = spark.read.text(f"{path}/lines", wholetext=True).select(F.concat(F.lit(" ".join(names) + "\n"), F.rtrim("value")).alias("value"))
+    with_header.write.text(f"{path}/log")
+    good, rejects = read_log_checked(spark, f"{path}/log", most_rejected=0.5)
+    named = rejects.select(F.split_part("line", F.lit(" "), F.lit(1)).cast("long").alias("instance_id"), F.lit(None).cast("long").alias("item_id"), "reason")
+    return good.select("instance_id", "item_id", F.lit(None).cast("string").alias("reason")).unionByName(named)
+
+
 @case("read_log_ws", on_log("select * from raw"))
 def _(spark, sf):
     path = _fresh(spark)
@@ -53,6 +90,16 @@ def _(spark, sf):
     return spark.read.csv(path, sep=" ", header=True, schema="instance_id bigint, predicted_score double")
 
 
+@case("write_scores_file", on_log(f"select row_number() over (order by instance_id) - 1 as row_number, instance_id, {SCORE} as predicted_score from log where day = {T}"))
+def _(spark, sf):
+    log = clean_log(spark, sf).filter(F.col("day") == T)
+    level = F.lit(2.0) + F.col("item_price_level") + F.col("user_age_level") % 10
+    path = _fresh(spark)
+    write_scores_file(log.withColumn("predicted_score", F.round(F.lit(1.0) / level, 6)), path)
+    schema = T_.StructType([T_.StructField("instance_id", T_.LongType()), T_.StructField("predicted_score", T_.DoubleType())])
+    return read_log_in_order(spark, path, schema)
+
+
 _PLAIN = [c for c in BASELINE_FEATURES if c not in ("user_query_day", "user_query_day_hour")]
 
 
