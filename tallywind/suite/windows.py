@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 
 from tallywind.functions.bins import concat_cross
-from tallywind.operators import cross, history
+from tallywind.operators import cross, day_state, history
 from tallywind.operators.clean import sentinel_to_zero
 from tallywind.operators.joins import attach
 from tallywind.plans import baseline, cross_features, point_in_time
 from tallywind.schema import BASELINE_FEATURES, SHOP_MEASURES, USER_LEVELS
 from tallywind.sources.standin import PLAN, raw_log
+from tallywind.storage import shared_dir, store
 from tallywind.suite.registry import case, log_case, on_log
 
 L = PLAN.valid
@@ -33,6 +35,19 @@ for _key in history.RATE_KEYS:
     log_case(f"history_rate_{_key}", on_log(_rate_sql(_key, f"day >= {L} - 3 and day < {L}", str(L))))(_one_day)
 
 
+def _states(log, key: str, measures: list[str]):
+    """States written day by day, the middle day twice, and read back for the label day."""
+    log, folder = store(log).df, f"{shared_dir(log.sparkSession)}/states-{uuid.uuid4().hex}"
+    for days in ([L - 3], [L - 2], [L - 1], [L - 2]):
+        day_state.write_days(log, folder, [key], measures, days)
+    return day_state.read_days(log.sparkSession, folder, [key], L - 3, L)
+
+
+@log_case("history_rate_by_day", on_log(_rate_sql("item_id", f"day >= {L} - 3 and day < {L}", str(L))))
+def _(log):
+    return day_state.history_rate_of(_states(log, "item_id", ["is_trade"]), "item_id", L)
+
+
 def _daily_rate_cte(key: str) -> tuple[str, str]:
     """Every (key, day) of the log against the key's rows of the three days before, by join."""
     cols = ", ".join(
@@ -86,6 +101,11 @@ def _(log):
     return history.history_hour_std(log, L)
 
 
+@log_case("history_hour_std_by_day", on_log(f"select hour, {_std_sql(str(L))} from log where day >= {L} - 3 and day < {L} group by 1"))
+def _(log):
+    return day_state.history_std_of(_states(log, "hour", list(SHOP_MEASURES)), "hour", SHOP_MEASURES, L)
+
+
 _DAILY_STD = (
     f"hour_std as (select b.hour, a.day, {_std_sql('a.day', 'b.')} from (select unnest([{LABEL_DAYS}]) as day) a "
     "join log b on b.day < a.day and b.day >= a.day - 3 group by 1, 2)"
