@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from tallywind.llm import text as X
 from tallywind.llm.components import components, key_filter, may_hold, shared
+from tallywind.llm.suffix_dedup import TALLY, passes, repeated, tallied
 from tallywind.storage import store
 
 SIZE = 5
@@ -96,11 +97,11 @@ def frequent_columns(docs: DataFrame, text: str, size: int = SIZE, most: int = F
 
 
 def prefixes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, most: int = FREQUENT) -> DataFrame:
-    """Per text: id, set size, class, and the indexed part of its row in column order."""
+    """Per text: id, set size, class, the indexed part of its row in column order, and how many columns each bucket holds."""
     spark = docs.sparkSession
     frequent = shared(spark, frequent_columns(docs, text, size, most))
     kind = docs.schema[doc_id].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", kind), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.IntegerType()))])
 
     def index(batch: pa.RecordBatch) -> Iterator[dict]:
         known, times = frequent.value
@@ -119,30 +120,50 @@ def prefixes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, m
                 "n": np.array([len(s) for s in sets], dtype=np.int64),
                 "node": identities_of(sets),
                 "prefix": X.list_array(kept, pa.int64()),
+                "sketch": X.list_array([np.bincount((found & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS) for found in sets], pa.int32()),
             }
 
     return X.map_batches(docs.select(doc_id, text), index, schema)
 
 
 def shared_columns(rows: DataFrame) -> DataFrame:
-    """(s, node, n, pos) of the columns that two classes or more hold among their indexed entries."""
-    entries = rows.where("n > 0").select("node", "n", F.posexplode("prefix").alias("pos", "s"))
-    held = entries.groupBy("s").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("s")
-    held = store(held).df
-    bits = shared(rows.sparkSession, key_filter(held, "s", 27))
+    """(s, node, n, pos) of the columns that two classes or more hold among their indexed entries.
+
+    Tasks first tally the columns as sorted hashes of four bytes; a filter of fixed size keeps those met twice. What it lets
+    pass beyond them is sorted out when the entries meet by column.
+    """
+    indexed = rows.where("n > 0").select("node", "n", "prefix")
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, owner, n = [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(2)
+            held.append(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+            owner.append(np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy())))
+            n += len(held[-1])
+            if n >= _CHUNK // 2:
+                yield tallied(np.concatenate(held), np.concatenate(owner))
+                held, owner, n = [], [], 0
+        if n:
+            yield tallied(np.concatenate(held), np.concatenate(owner))
+
+    table = shared(rows.sparkSession, repeated(indexed.mapInArrow(tally, TALLY), 1)[0])
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("s", T.LongType())])
 
     def likely(batch: pa.RecordBatch) -> Iterator[dict]:
         lists = batch.column(2)
         s = lists.flatten().to_numpy(zero_copy_only=False)
         lengths = np.diff(lists.offsets.to_numpy())
-        at = np.flatnonzero(may_hold(bits.value, s))
+        at = np.flatnonzero(passes(table.value, s.view(np.uint64)))
         row = np.repeat(np.arange(len(lengths)), lengths)[at]
         start = np.concatenate([[0], np.cumsum(lengths)])
         yield {"node": batch.column(0).take(pa.array(row)), "n": batch.column(1).take(pa.array(row)), "pos": at - start[row], "s": s[at]}
 
-    some = X.map_batches(rows.where("n > 0").select("node", "n", "prefix"), likely, schema)
-    return some.dropDuplicates(["s", "node"]).join(held, "s", "left_semi")
+    some = store(X.map_batches(indexed, likely, schema).dropDuplicates(["s", "node"])).df
+    held = some.groupBy("s").agg(F.count("*").alias("classes")).where("classes > 1").select("s")
+    return some.join(held, "s", "left_semi")
 
 
 def reachable(percent: int, na: Column, nb: Column, overlap: Column) -> Column:
@@ -197,6 +218,29 @@ def exact_links(pairs: DataFrame, docs: DataFrame, text: str, rows_of: RowsOf, p
     return both.select("a", "b", "ra", "rb").mapInArrow(linked, "a long, b long")
 
 
+def likely_links(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose overlap is not bounded below a link by what their rows hold in each bucket of columns.
+
+    Two rows share at most the smaller of their counts in every bucket, so no pair that links is left out; most of the others go
+    before a whole row is fetched for them.
+    """
+    pairs = store(pairs).df
+    bits = shared(pairs.sparkSession, key_filter(store(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()).df, "node"))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(may_hold(bits.value, batch.column(0).to_numpy())))
+
+    known = rows.select("node", "n", "sketch").mapInArrow(wanted, "node long, n long, sketch array<int>").dropDuplicates(["node"])
+    sides = [known.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    most = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    return both.where(reachable(percent, F.col("na"), F.col("nb"), most)).select("a", "b")
+
+
+#: Buckets of columns that rows are bounded by.
+BUCKETS = 256
 #: Blocks of columns that overlap is accumulated over.
 BLOCKS = 4
 
@@ -302,7 +346,7 @@ def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(rows, labels): id, set size and class of every text; class and component of every class with a link."""
     rows = store(prefixes(docs, doc_id, text, size, percent, frequent)).df
     entries = store(shared_columns(rows)).df
-    labels = components_by_pivots(entries, percent, lambda pairs: exact_links(pairs, docs, text, text_rows(size), percent))
+    labels = components_by_pivots(entries, percent, lambda pairs: exact_links(likely_links(pairs, rows, percent), docs, text, text_rows(size), percent))
     return rows.select("id", "n", "node"), labels
 
 

@@ -113,31 +113,37 @@ def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
 
 
+TALLY = "part int, once binary, often binary, counts binary"
+_TALLY = pa.schema([("part", pa.int32()), ("once", pa.binary()), ("often", pa.binary()), ("counts", pa.binary())])
+
+
+def tallied(h: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+    """(part, once, often, counts): 64-bit hashes as 44 bits by part, those of one owner and those of more with their number."""
+    order = np.lexsort((owner, h))
+    h, owner = h[order], owner[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h = h[new]
+    heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    n = np.diff(np.append(heads, len(h))).astype(np.uint32)
+    h = h[heads]
+    part = (h >> U64(64 - PART_BITS)).astype(np.int64)
+    low = ((h >> U64(32 - PART_BITS)) & U64(0xFFFFFFFF)).astype(np.uint32)
+    known = np.unique(part)
+    single = n == 1
+    bounds = [np.append(np.searchsorted(part[m], known), m.sum()) for m in (single, ~single)]
+    columns = [pa.array(known, pa.int32()), _binaries(low[single], bounds[0]), _binaries(low[~single], bounds[1]), _binaries(n[~single], bounds[1])]
+    return pa.RecordBatch.from_arrays(columns, schema=_TALLY)
+
+
+def passes(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the filter of ``repeated`` has a bit for each hash."""
+    word, bit = h >> U64(64 - PART_BITS - 16 + 6), (h >> U64(64 - PART_BITS - 16)) & U64(63)
+    return (table[word.astype(np.int64)] >> bit) & U64(1) == 1
+
+
 def occurrences(docs: Firsts) -> DataFrame:
-    """(part, once, often, counts): hashes of anchors by part, those of one text of a chunk and those of more; and, in
-    parts below 0, a sample of the strings themselves."""
-    schema = "part int, once binary, often binary, counts binary"
-    target = pa.schema([("part", pa.int32()), ("once", pa.binary()), ("often", pa.binary()), ("counts", pa.binary())])
-
-    def flush(hashes: list[np.ndarray], rows: list[np.ndarray]) -> pa.RecordBatch:
-        h, row = np.concatenate(hashes), np.concatenate(rows)
-        order = np.argsort(h, kind="stable")  # rows of equal hashes stay in order
-        h, row = h[order], row[order]
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-        h = h[new]
-        heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        n = np.diff(np.append(heads, len(h))).astype(np.uint32)
-        h = h[heads]
-        part = (h >> U64(64 - PART_BITS)).astype(np.int64)
-        low = ((h >> U64(32 - PART_BITS)) & U64(0xFFFFFFFF)).astype(np.uint32)
-        known = np.unique(part)
-        edges = np.append(known, known[-1] + 1)
-        single = n == 1
-        bounds = [np.searchsorted(part[m], edges) for m in (single, ~single)]
-        bounds = [np.append(b[:-1], len(part[m])) for b, m in zip(bounds, (single, ~single), strict=True)]
-        columns = [pa.array(known, pa.int32()), _binaries(low[single], bounds[0]), _binaries(low[~single], bounds[1]), _binaries(n[~single], bounds[1])]
-        return pa.RecordBatch.from_arrays(columns, schema=target)
+    """``tallied`` hashes of anchors, owned by texts; and, in parts below 0, a sample of the strings themselves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rows, held, first = [], [], 0, 0
@@ -148,17 +154,17 @@ def occurrences(docs: Firsts) -> DataFrame:
                     chosen = found.at[np.argsort(found.hash)[:_SAMPLE]]
                     sample = piece.data[chosen[:, None] + np.arange(GRAM)]
                     to = -1 - int(found.hash[0] % U64(_SAMPLES))
-                    yield pa.RecordBatch.from_arrays([pa.array([to], pa.int32()), *[pa.array([b]) for b in (sample.tobytes(), b"", b"")]], schema=target)
+                    yield pa.RecordBatch.from_arrays([pa.array([to], pa.int32()), *[pa.array([b]) for b in (sample.tobytes(), b"", b"")]], schema=_TALLY)
                 hashes.append(found.hash)
                 rows.append(found.row + first)
                 held, first = held + len(found.at), first + piece.rows
                 if held >= _COUNTED:
-                    yield flush(hashes, rows)
+                    yield tallied(np.concatenate(hashes), np.concatenate(rows))
                     hashes, rows, held = [], [], 0
         if held:
-            yield flush(hashes, rows)
+            yield tallied(np.concatenate(hashes), np.concatenate(rows))
 
-    return docs.map(count, schema)
+    return docs.map(count, TALLY)
 
 
 def _by(rows: DataFrame, key: str, *then: str) -> DataFrame:
@@ -292,8 +298,7 @@ def runs(docs: Firsts, known, run_keys: int = RUN_KEYS) -> DataFrame:
                 of = slice(piece.first, piece.first + piece.rows)
                 rows.append(tuple(batch.column(i).to_numpy()[of] for i in (0, 1)))
                 found = Anchors(piece)
-                word, bit = found.hash >> U64(64 - PART_BITS - 16 + 6), (found.hash >> U64(64 - PART_BITS - 16)) & U64(63)
-                may = (table[word.astype(np.int64)] >> bit) & U64(1) == 1
+                may = passes(table, found.hash)
                 short = found.hash >> U64(32 - PART_BITS)
                 often = may & np.isin(short, heavy) if len(heavy) else np.zeros(len(may), dtype=bool)
                 one = np.flatnonzero(may & ~often)

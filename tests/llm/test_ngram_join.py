@@ -99,3 +99,17 @@ def test_odd_texts(hostile, nothing):
     none = sorted((r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] is None)
     assert none[0] == (0, None) and none[1][1] == 1
     assert J.similarity_groups(nothing).count() == 0
+
+
+def test_buckets_leave_out_no_link(spark, frame):
+    texts = texts_with_copies(5, 200)
+    docs = frame([texts[i] for i in range(200)])
+    rows = J.prefixes(docs, "doc_id", "text", 5, 75).cache()
+    sets = {i: shingles(t) for i, t in texts.items()}
+    node = {r["id"]: r["node"] for r in rows.collect()}
+    by_node = {node[i]: s for i, s in sets.items() if s}
+    some = sorted(by_node)
+    pairs = [(a, b) for n, a in enumerate(some) for b in some[n + 1 :]]
+    kept = {(r["a"], r["b"]) for r in J.likely_links(spark.createDataFrame(pairs, "a long, b long"), rows, 75).collect()}
+    links = {(a, b) for a, b in pairs if 100 * len(by_node[a] & by_node[b]) >= 75 * len(by_node[a] | by_node[b])}
+    assert links and links <= kept and len(kept) < len(pairs) / 2
