@@ -2,6 +2,9 @@
 
 The log is reduced once to its distinct combinations of the columns involved, with their number. All
 counts are derived from that table, and one join per block brings them back to the log.
+
+Combinations with an id of users are as many as rows. Their counts are taken on the rows themselves, by windows that all
+stand on one exchange by user; users with very many rows are aggregated and joined instead.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from tallywind.schema import ITEM_LEVELS, SHOP_LEVELS
 from tallywind.storage import Stored, side_by_side, store
 
 GROUP_LIMIT = 1_000_000
+#: Anchors whose pairs are counted on the rows of the log.
+ROW_ANCHORS = ("user_id",)
 
 
 @dataclass(frozen=True)
@@ -73,41 +78,65 @@ def cross_counts(
     *blocks: Sequence[Cross],
     id_col: str = "instance_id",
     group_limit: int = GROUP_LIMIT,
+    row_anchors: Sequence[str] = ROW_ANCHORS,
     **join_options,
 ) -> DataFrame:
     """Add ``<col>_<prefix>_cnt`` and ``<col>_<prefix>_prob`` for every pair of every block.
 
-    The crosses of one block share a table of combinations; group those that share their columns.
+    The crosses of one block share a table of combinations; group those that share their columns. Crosses anchored in
+    ``row_anchors`` are counted on the rows of ``df``, which is read more than once and should be a stored table.
     """
+    on_rows = [x for block in blocks for x in block if x.anchor in row_anchors and x.key == x.anchor]
+    rest = [kept for block in blocks if (kept := [x for x in block if x not in on_rows])]
+    if on_rows:
+        df = _count_on_rows(df, on_rows, id_col, group_limit, join_options)
 
     def lookup(block: Sequence[Cross]):
         return _cross_table(df, block, id_col, group_limit, join_options)
 
-    return attach_all(df, side_by_side(lookup, blocks), weight="_n", null_safe=True, **join_options)
+    return attach_all(df, side_by_side(lookup, rest), weight="_n", null_safe=True, **join_options) if rest else df
 
 
-def _cross_table(df, crosses, id_col, group_limit, join_options) -> tuple[DataFrame | Stored, list[str]]:
-    """The features of every combination of a block's columns, and those columns."""
-    cols = list(dict.fromkeys(c for x in crosses for c in (x.anchor, x.key, *x.cols)))
-    combos = store(df.groupBy(*cols).agg(F.count(id_col).alias("_n")))
+def _count_on_rows(df, crosses: Sequence[Cross], id_col: str, group_limit: int, join_options) -> DataFrame:
+    """The features of crosses whose pairs share their anchor, one exchange of the rows for each anchor."""
+    rows = df.withColumn("_n", F.col(id_col).isNotNull().cast("bigint"))
+    counted = rows
+    for key, partners in _partners(crosses).items():
+        counted = _count_within(counted, rows, key, partners, group_limit, {"spread_by": [id_col], **join_options})
+    return counted.selectExpr(*[f"`{c}`" for c in df.columns], *_features(crosses))
+
+
+def _partners(crosses: Sequence[Cross]) -> dict[str, list[str | None]]:
+    """What is counted with each key: None for the key alone, and its partners."""
     sets: dict[str, list[str | None]] = {}
     for x in crosses:
         sets.setdefault(x.anchor, []).append(None)
         sets.setdefault(x.key, []).extend(x.cols)
-    sets = {key: list(dict.fromkeys(partners)) for key, partners in sets.items()}
-    if combos.rows <= group_limit:
-        counted = _count_together(combos.df, cols, sets, join_options)
-    else:
-        counted = combos.df
-        for key, partners in sets.items():
-            counted = _count_within(counted, combos, key, partners, group_limit, join_options)
+    return {key: list(dict.fromkeys(partners)) for key, partners in sets.items()}
+
+
+def _features(crosses: Sequence[Cross]) -> list[str]:
     features = []
     for x in crosses:
         for c in x.cols:
             pairs, total = _total(x.key, c), _total(x.anchor, None)
             features.append(f"`{pairs}` as `{c}_{x.prefix}_cnt`")
             features.append(f"try_divide(double(`{pairs}`), double(`{total}`)) as `{c}_{x.prefix}_prob`")
-    table = Stored(counted.selectExpr(*[f"`{c}`" for c in cols], "_n", *features), (combos.rows, combos.text_bytes))
+    return features
+
+
+def _cross_table(df, crosses, id_col, group_limit, join_options) -> tuple[DataFrame | Stored, list[str]]:
+    """The features of every combination of a block's columns, and those columns."""
+    cols = list(dict.fromkeys(c for x in crosses for c in (x.anchor, x.key, *x.cols)))
+    combos = store(df.groupBy(*cols).agg(F.count(id_col).alias("_n")))
+    sets = _partners(crosses)
+    if combos.rows <= group_limit:
+        counted = _count_together(combos.df, cols, sets, join_options)
+    else:
+        counted = combos.df
+        for key, partners in sets.items():
+            counted = _count_within(counted, combos.df, key, partners, group_limit, join_options)
+    table = Stored(counted.selectExpr(*[f"`{c}`" for c in cols], "_n", *_features(crosses)), (combos.rows, combos.text_bytes))
     # One row per stored combination, so the size is known; it is written only if it cannot be broadcast.
     return (table if table.bytes <= join_options.get("broadcast_bytes", BROADCAST_BYTES) else table.df), cols
 
@@ -138,14 +167,14 @@ def _count_together(combos: DataFrame, cols: Sequence[str], sets: dict[str, list
     return counted.groupBy(*cols, "_n").agg(*picked)
 
 
-def _count_within(df, combos: Stored, key: str, partners, group_limit: int, join_options) -> DataFrame:
-    """Row counts per ``key`` and per (``key``, partner).
+def _count_within(df, counted: DataFrame, key: str, partners, group_limit: int, join_options) -> DataFrame:
+    """Row counts per ``key`` and per (``key``, partner): sums of ``_n`` over ``counted``, given to the rows of ``df``.
 
-    Keys with a bounded number of combinations are counted by windows after one shuffle by key. The few
+    Keys with a bounded number of rows in ``counted`` are counted by windows after one shuffle by key. The few
     larger ones, at most ``rows / group_limit`` keys, are aggregated and joined instead. A null key has no
     counts and is not shuffled.
     """
-    sizes = combos.df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
+    sizes = counted.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
     large = store(sizes.filter(F.col("_m") > group_limit).select(F.col(key).alias("_large")))
     unknown = df.filter(F.col(key).isNull()).withColumns(
         {_total(key, partner): F.lit(None).cast("bigint") for partner in partners}
@@ -156,8 +185,8 @@ def _count_within(df, combos: Stored, key: str, partners, group_limit: int, join
     is_large = F.col(key) == F.col("_large")
     small_part = _by_window(known.join(F.broadcast(large.df), is_large, "left_anti"), key, partners)
     large_part = known.join(F.broadcast(large.df), is_large, "left_semi")
-    source = combos.df.join(F.broadcast(large.df), is_large, "left_semi")
-    options = {"spread_by": [c for c in combos.df.columns if c != "_n"], **join_options}
+    source = counted.join(F.broadcast(large.df), is_large, "left_semi")
+    options = {"spread_by": [c for c in counted.columns if c != "_n"], **join_options}
     for partner in partners:
         keys = [key] if partner is None else [key, partner]
         counts = grouped(source, keys, F.sum("_n").alias(_total(key, partner)), F.count(F.lit(1)).alias("_w"))

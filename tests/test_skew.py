@@ -104,6 +104,22 @@ def test_cross_counts_by_every_route(log, group_limit, broadcast_bytes):
         pd.testing.assert_series_equal(got[c].astype(float), want[c].astype(float), check_names=False)
 
 
+@pytest.mark.parametrize("group_limit", [1_000_000, 40])
+def test_counts_on_rows_equal_counts_of_combinations(log, group_limit):
+    """Null ids are not counted, null anchors and partners have no counts, whichever way is taken."""
+    log = log.withColumn("instance_id", F.when(F.col("instance_id") % 11 != 0, F.col("instance_id")))
+    block = [cross.Cross("user_id", ("item_id", "level", "grade"), "user")]
+    rows = cross.cross_counts(log, block, group_limit=group_limit, broadcast_bytes=0)
+    assert as_set(rows) == as_set(cross.cross_counts(log, block, row_anchors=()))
+
+
+def test_user_crosses_stand_on_one_exchange(log):
+    block = [cross.Cross("user_id", ("item_id", "level"), "user"), cross.Cross("user_id", ("grade",), "other")]
+    plan = cross.cross_counts(store(log).df, block)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(user_id") == 1 and plan.count("Exchange") == 1
+    assert "<=>" not in plan and "Join" not in plan
+
+
 def test_text_columns_can_be_crossed(log):
     text = log.withColumn("level", F.concat(F.lit("l"), F.col("level").cast("string")))
     got = cross.cross_counts(text, BLOCK).agg(F.sum("item_id_level_cnt")).first()[0]
