@@ -23,13 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywind.llm import ngram_join as J
 from tallywind.llm import text as X
 from tallywind.llm.components import components, key_filter, may_hold, shared
+from tallywind.operators.joins import attach
 from tallywind.storage import store
 
 MIN_WORDS = 25
@@ -151,15 +152,34 @@ def _shared_entries(items: DataFrame, key: str, of: str) -> DataFrame:
     return items.mapInArrow(likely, items.schema).join(held, key, "left_semi")
 
 
+#: Words of 64 bits that mark which shingles of a paragraph others have too.
+MARKS = 8
+
+
 def _shared_shingles(nodes: DataFrame, texts: DataFrame, rows_of) -> DataFrame:
-    """(node, shared): how many shingles of each paragraph any other of ``nodes`` has too, which bounds every overlap.
+    """(node, shared, marks): how many shingles of each paragraph any other of ``nodes`` has too, and one bit for each by its hash.
 
-    Copies that differ from a common source by as much as keeps them from linking with it have too many of their own.
+    Both bound every overlap. Copies that differ from a common source by as much as keeps them from linking with it have too
+    many of their own; lines of one template share too few of the same.
     """
-    rows = J.whole_rows(store(nodes).df, texts, "text", rows_of)
+    return marked(J.whole_rows(store(nodes).df, texts, "text", rows_of))
+
+
+def marked(rows: DataFrame) -> DataFrame:
+    """What ``_shared_shingles`` tells of (node, row)."""
     each = store(rows.select("node", F.explode("row").alias("h"))).df
     held = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("h")
-    return each.join(held, "h", "left_semi").groupBy("node").agg(F.count("*").alias("shared"))
+    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    marks = [F.bit_or(F.when(F.expr(f"shiftrightunsigned(h, 6) & {MARKS - 1} = {i}"), bit).otherwise(0)) for i in range(MARKS)]
+    found = each.join(held, "h", "left_semi").groupBy("node").agg(F.count("*").alias("shared"), *[m.alias(f"mark{i}") for i, m in enumerate(marks)])
+    return found.withColumn("marked", sum(F.bit_count(f"mark{i}") for i in range(MARKS)))
+
+
+def _most_shared(a: str = "x", b: str = "") -> Column:
+    """The most shingles that two paragraphs can share: the bits both have, and for each bit that stands for several shingles of
+    both, the others behind it."""
+    both = sum(F.bit_count(F.col(f"{a}mark{i}").bitwiseAND(F.col(f"{b}mark{i}"))) for i in range(MARKS))
+    return both + F.least(F.col(f"{a}shared") - F.col(f"{a}marked"), F.col(f"{b}shared") - F.col(f"{b}marked"))
 
 
 def near_paragraphs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -179,7 +199,7 @@ def near_paragraphs(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
         mixed = J.mixed_columns(labelled)
         open_ = mixed.select("node").distinct()
         mixed = store(mixed.join(_shared_shingles(open_, texts, rows_of), "node")).df
-        met = J.cross_pairs(mixed, J.reachable(percent, F.col("xn"), F.col("n"), F.least("xshared", "shared")))
+        met = J.cross_pairs(mixed, J.reachable(percent, F.col("xn"), F.col("n"), _most_shared()))
         return met.select(F.least("xnode", "node").alias("a"), F.greatest("xnode", "node").alias("b")).distinct()
 
     labels = J.components_by_pivots(entries, percent, lambda pairs: J.exact_links(pairs, texts, "text", rows_of, percent), remaining)
@@ -242,8 +262,10 @@ def repeated_passages(rows: DataFrame) -> DataFrame:
 
     units = store(X.map_batches(rows, cut, schema)).df
     met = store(_shared_entries(units, "h", "row")).df
-    first = met.withColumn("start", F.col("starts")[0]).groupBy("h").agg(F.min(_rank("doc", "row", "start")).alias("first"))
-    known = met.join(first, "h").select("row", "doc", "h", "first", F.explode("starts").alias("start"))
+    first = met.withColumn("start", F.col("starts")[0]).groupBy("h").agg(F.min(_rank("doc", "row", "start")).alias("first"), F.count("*").alias("_n"))
+    # One passage may be in a third of all texts: its rows are dealt out.
+    known = attach(met, first, ["h"], weight="_n", spread_by=("row", "h"), broadcast_bytes=0)
+    known = known.select("row", "doc", "h", "first", F.explode("starts").alias("start"))
     known = known.withColumn("later", (_rank("doc", "row", "start") != F.col("first")).cast("int"))
     inside = Window.partitionBy("row").orderBy("start")  # the units of one text
     stays = F.col("later") == 0

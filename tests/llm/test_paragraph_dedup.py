@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from llm_fixtures import _importable, frame, hostile, nothing  # noqa: F401
+from pyspark.sql import functions as F
 
 from tallywind.llm import paragraph_dedup as P
 from tallywind.llm import text as X
@@ -90,6 +91,39 @@ def test_near_paragraphs_against_all_pairs(spark, frame):
     assert set(clusters) <= linked
 
 
+def test_lines_of_one_template(frame, monkeypatch):
+    """Most pairs of such lines share bands and shingles and do not link; they are known before they are pairs. Links are all found."""
+    rng = random.Random(6)
+    words = prose(rng, 40)
+    values = [prose(rng, 30) for _ in range(4)]
+    lines = [list(words) for _ in range(400)]
+    for line in lines:
+        for at, value in zip((6, 15, 24, 33), values, strict=True):
+            line[at] = rng.choice(value)
+    sets = [set(zip(*[line[i:] for i in range(5)], strict=False)) for line in lines]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    made, exact = [], P.J.exact_links
+    monkeypatch.setattr(P.J, "exact_links", lambda pairs, *rest: made.append(pairs.count()) or exact(pairs, *rest))
+    clusters = {r["doc_id"]: r["cluster_id"] for r in P.repeats(frame([" ".join(line) for line in lines])).where("kind = 'paragraph'").collect()}
+    assert all(clusters[i] == clusters[j] for i, j in links)
+    assert set(clusters) == {i for pair in links for i in pair}
+    # Beyond the turns of pivots only pairs close to a link are left.
+    assert sum(made[2:]) <= len(links)
+
+
+def test_marks_bound_every_overlap(spark):
+    """The bound is never below the shingles two sets share, also where several fall on one bit."""
+    rng = random.Random(7)
+    pool = [rng.getrandbits(64) - (1 << 63) for _ in range(900)]
+    sets = {i: set(rng.sample(pool, rng.choice([3, 30, 300, 700]))) for i in range(24)}
+    rows = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "node long, row array<long>")
+    marks = P.marked(rows).cache()
+    other = marks.select(*[F.col(c).alias(f"x{c}") for c in marks.columns])
+    got = marks.join(other, F.col("xnode") < F.col("node")).select("xnode", "node", P._most_shared().alias("most")).collect()
+    assert len(got) == 24 * 23 // 2
+    assert all(r["most"] >= len(sets[r["xnode"]] & sets[r["node"]]) for r in got)
+
+
 @pytest.mark.parametrize("words", [51])
 def test_no_repeated_passage_is_missed(spark, words):
     texts = {r["doc_id"]: r["text"].lower().split() for r in spark.read.parquet(SF_DIR + "/documents.parquet").collect()}
