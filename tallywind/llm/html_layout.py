@@ -4,9 +4,9 @@ A page becomes a tree: void elements have no content, raw text elements keep the
 ends by HTML's rules (a paragraph by the next block, a list item by the next item, cells and rows by the next ones, and
 so on); a closing tag without its opening one is dropped, open elements are closed by what closes their parents. The
 renderer leaves out what a browser would not show (scripts, styles, the head, comments, ``hidden``, ``display:none``,
-``visibility:hidden``, ``aria-hidden``) and gives all other text. Blocks stand on lines of their own; paragraphs, headings,
+closed dialogs, ``visibility:hidden`` but for parts that are ``visible`` again) and gives all other text. Blocks stand on lines of their own; paragraphs, headings,
 lists and tables have an empty line around them; list items carry a bullet or their number, indented by depth; table
-cells are padded to columns; ``br`` breaks a line; ``pre`` keeps its white space.
+cells are padded to columns, and a cell that spans rows keeps its columns free below it; ``br`` breaks a line; ``pre`` keeps its white space.
 
 One page is one row's work: pages are rendered one by one inside tasks, and nothing is shuffled.
 
@@ -33,7 +33,7 @@ from tallywind.llm import text as X
 # HTML's element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noembed noframes iframe".split())
-NOT_SHOWN = set("head script style title template noscript iframe object audio video canvas svg math datalist noembed noframes dialog area base link meta param source track".split())
+NOT_SHOWN = set("head script style title template noscript iframe object audio video canvas datalist noembed noframes area base link meta param source track desc defs metadata annotation annotation-xml".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend "
     "li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul caption".split()
@@ -63,7 +63,11 @@ SCOPES = set("table td th caption html".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NO_BOX = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_INTEGER = re.compile(r"[ \t\n\f\r]*([+-]?[0-9]{1,9})(?![0-9])")
+# The end of a raw element is sought in the page itself: other cases of a letter may be longer or shorter than it.
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -106,7 +110,6 @@ def parse(page: str) -> Node:
             cut(at)
 
     at = 0
-    lowered = None
     for token in iter(lambda: _TOKEN.search(page, at), None):
         if token.start() > at:
             stack[-1].children.append(html.unescape(page[at : token.start()]))
@@ -140,9 +143,8 @@ def parse(page: str) -> Node:
             node = Node(tag, _attributes(raw) if raw else {})
             stack[-1].children.append(node)
             if tag in RAW:
-                lowered = lowered if lowered is not None else page.lower()
-                end = lowered.find(f"</{tag}", at)
-                end = len(page) if end < 0 else end
+                found = _RAW_END[tag].search(page, at)
+                end = found.start() if found else len(page)
                 inner = page[at:end]
                 node.children.append(html.unescape(inner) if tag in ("title", "textarea") else inner)
                 close = page.find(">", end)
@@ -156,10 +158,33 @@ def parse(page: str) -> Node:
 
 
 def hidden(node: Node) -> bool:
+    """Whether neither the node nor anything in it is shown."""
     a = node.attributes
-    if node.tag in NOT_SHOWN or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
+    if node.tag in NOT_SHOWN or "hidden" in a or node.tag == "dialog" and "open" not in a:
         return True
-    return (node.tag == "input" and a.get("type", "").lower() == "hidden") or bool(_INVISIBLE.search(a.get("style", "")))
+    return (node.tag == "input" and a.get("type", "").lower() == "hidden") or bool(_NO_BOX.search(a.get("style", "")))
+
+
+def _visibility(node: Node) -> str:
+    found = _VISIBILITY.findall(node.attributes.get("style", ""))
+    return found[-1].lower() if found else ""
+
+
+def seen(node: Node) -> Node:
+    """The node, or where its visibility is off an empty one with the parts that turn it on again; its place remains."""
+    if _visibility(node) not in ("hidden", "collapse"):
+        return node
+    parts: list[Node | str] = []
+    open_ = list(reversed(node.children))
+    while open_:
+        top = open_.pop()
+        if isinstance(top, str) or hidden(top):
+            continue
+        if _visibility(top) == "visible":
+            parts.append(top)
+        else:
+            open_ += reversed(top.children)
+    return Node(node.tag if node.tag in ("td", "th", "tr") else "span", {k: v for k, v in node.attributes.items() if k != "style"}, parts)
 
 
 class Page:
@@ -205,48 +230,68 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def _rows(node: Node) -> Iterator[Node]:
+def _rows(node: Node) -> Iterator[tuple[Node, Node]]:
+    """(section, row) of a table."""
     for child in node.children:
         if isinstance(child, Node) and not hidden(child):
             if child.tag == "tr":
-                yield child
+                yield node, seen(child)
             elif child.tag in ("thead", "tbody", "tfoot"):
                 yield from _rows(child)
 
 
-def _number(value: str, low: int = 1, high: int = 1000) -> int:
-    return min(max(int(value), low), high) if value.isdecimal() and len(value) < 6 else 1
+def _integer(value: str) -> int | None:
+    """A whole number as an attribute gives it; what browsers have no room for is none."""
+    found = _INTEGER.match(value)
+    return int(found.group(1)) if found else None
+
+
+def _span(cell: Node, name: str, most: int) -> int:
+    """Columns or rows of a cell, within the bounds that HTML sets."""
+    n = _integer(cell.attributes.get(name, "1"))
+    return min(n, most) if n is not None and n > 0 else 1
 
 
 def table_lines(table: Node, depth: int) -> list[str]:
-    """The rows of a table with cells padded to columns; a cell may span columns and have several lines."""
-    grid: list[list[tuple[list[str], int]]] = []
-    for row in _rows(table):
+    """The rows of a table with cells padded to columns; a cell may span columns and rows and have several lines."""
+    grid: list[list[tuple[int, list[str], int]]] = []
+    section, taken = None, {}  # columns that cells of earlier rows hold, and for how many rows more
+    for part, row in _rows(table):
+        if part is not section:
+            section, taken = part, {}
         cells = [c for c in row.children if isinstance(c, Node) and c.tag in ("td", "th") and not hidden(c)]
         loose = [c for c in row.children if not (isinstance(c, Node) and c.tag in ("td", "th"))]
-        made = [(render(c, depth + 1).split("\n"), _number(c.attributes.get("colspan", "1"))) for c in cells]
+        made = [(render(seen(c), depth + 1).split("\n"), _span(c, "colspan", 1000), _span(c, "rowspan", 65534)) for c in cells]
         outside = render(Node("div", {}, loose), depth + 1)
         if outside:
-            made.append((outside.split("\n"), 1))
-        if made:
-            grid.append(made)
-    columns = max((sum(span for _, span in row) for row in grid), default=0)
-    widths = [0] * columns
+            made.append((outside.split("\n"), 1, 1))
+        placed, at, held = [], 0, {}
+        for cell, span, rows in made:
+            while at in taken:
+                at += 1
+            placed.append((at, cell, span))
+            if rows > 1:
+                held |= dict.fromkeys(range(at, at + span), rows - 1)
+            at += span
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | held
+        if placed:
+            grid.append(placed)
+    widths = [0] * max((at + span for row in grid for at, _, span in row), default=0)
     for row in grid:
-        at = 0
-        for cell, span in row:
+        for at, cell, span in row:
             if span == 1:
                 widths[at] = max([widths[at], *map(width, cell)])
-            at += span
     out = []
     for row in grid:
-        for k in range(max(len(cell) for cell, _ in row)):
-            line, at = "", 0
-            for cell, span in row:
+        for k in range(max(len(cell) for _, cell, _ in row)):
+            line, reached = "", 0
+            for at, cell, span in row:
+                for column in range(reached, at):
+                    line += " " * widths[column] + " | "
                 text = cell[k] if k < len(cell) else ""
                 room = sum(widths[at : at + span]) + 3 * (span - 1)
                 line += text + " " * (room - width(text)) + " | "
-                at += span
+                reached = at + span
             out.append(line.rstrip(" |") if not line.strip(" |") else line[:-3].rstrip(" "))
     return out
 
@@ -255,7 +300,8 @@ MAX_DEPTH = 200
 
 
 def _walk(node: Node, page: Page, pre: bool, depth: int) -> None:
-    number = _number(node.attributes.get("start", "1")) if node.tag == "ol" else 0
+    number = _integer(node.attributes.get("start", "1")) if node.tag == "ol" else 0
+    number = 1 if number is None else number
     for child in node.children:
         if isinstance(child, str):
             if pre:
@@ -269,6 +315,7 @@ def _walk(node: Node, page: Page, pre: bool, depth: int) -> None:
             continue
         if hidden(child):
             continue
+        child = seen(child)
         tag = child.tag
         if depth > MAX_DEPTH:
             # Deeper than a reader could follow: the text stays, its layout goes.
@@ -297,6 +344,8 @@ def _walk(node: Node, page: Page, pre: bool, depth: int) -> None:
             page.space()
         elif tag == "li":
             page.end_line()
+            own = _integer(child.attributes.get("value", ""))
+            number = number if own is None else own
             marker = f"{number}. " if node.tag == "ol" else "- "
             number += 1
             before = page.prefix
@@ -330,7 +379,7 @@ def _all_text(node: Node) -> str:
         if isinstance(top, str):
             out.append(top)
         elif not hidden(top):
-            open_ += reversed(top.children)
+            open_ += reversed(seen(top).children)
     return " ".join(out)
 
 

@@ -72,7 +72,7 @@ tail
 
   q2
 
-end"""
+noend"""
     assert H.page_text(page) == want
 
 
@@ -96,3 +96,27 @@ def test_odd_rows(hostile, nothing):
     one = re.sub(r"\s+", " ", next(r["text"] for r in rows if r["doc_id"] == 2))
     assert next(r["kept"] for r in rows if r["doc_id"] == 2) == one
     assert H.extract(nothing, "text", "kept").count() == 0
+
+
+def test_raw_elements_end_where_they_end():
+    """A capital with a longer small form does not move the end; a longer name does not end a script, a Kelvin sign is no k."""
+    page = "İ" * 12 + "<script>var a = 1;</SCRIPT >kept one<p>two<script>x</scripts>y</script>z"
+    assert H.page_text(page).split() == ["İ" * 12 + "kept", "one", "twoz"]
+
+
+def test_numbers_of_lists():
+    assert H.page_text("<ol start=1987><li>a<li>b<li value=7>c<li>d</ol>").split("\n") == ["1987. a", "1988. b", "7. c", "8. d"]
+    assert H.page_text("<ol start=-1><li>a<li value=x>b</ol><ol start=99999999999999999999><li>c</ol>").split() == ["-1.", "a", "0.", "b", "1.", "c"]
+
+
+def test_cells_over_rows():
+    page = "<table><tr><td rowspan=2>ab<td>c<td>d<tr><td>e<td>f<tr><td>g<td rowspan=9 colspan=2>h<tbody><tr><td>i<td>j<td>k</table>"
+    assert H.page_text(page).split("\n") == ["ab | c | d", "   | e | f", "g  | h", "i  | j | k"]
+
+
+def test_what_a_browser_shows():
+    assert H.page_text("<svg><title>t</title><desc>d</desc><g><text>label</text></g></svg><math><mi>x</mi></math>").split() == ["labelx"]
+    assert H.page_text("<dialog>no</dialog><dialog open>yes</dialog><b aria-hidden=true>seen</b>").split() == ["yes", "seen"]
+    page = "<div style='visibility:hidden'>no<p>no<b style='visibility: visible'>yes</b><i style='display:none'><u style='visibility:visible'>no</u></i></div>"
+    assert H.page_text(page) == "yes"
+    assert H.page_text("<table><tr><td style='visibility:hidden'>no<td>a<tr><td>bb<td>c</table>").split("\n") == ["   | a", "bb | c"]
