@@ -97,11 +97,11 @@ def frequent_columns(docs: DataFrame, text: str, size: int = SIZE, most: int = F
 
 
 def prefixes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, most: int = FREQUENT) -> DataFrame:
-    """Per text: id, set size, class, the indexed part of its row in column order, and how many columns each bucket holds."""
+    """Per text: id, set size, class, the indexed part of its row in column order, and its sketch."""
     spark = docs.sparkSession
     frequent = shared(spark, frequent_columns(docs, text, size, most))
     kind = docs.schema[doc_id].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField("id", kind), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
 
     def index(batch: pa.RecordBatch) -> Iterator[dict]:
         known, times = frequent.value
@@ -120,7 +120,7 @@ def prefixes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, m
                 "n": np.array([len(s) for s in sets], dtype=np.int64),
                 "node": identities_of(sets),
                 "prefix": X.list_array(kept, pa.int64()),
-                "sketch": X.list_array([np.bincount((found & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS) for found in sets], pa.int32()),
+                "sketch": pa.array([sketch(found) for found in sets], pa.binary()),
             }
 
     return X.map_batches(docs.select(doc_id, text), index, schema)
@@ -218,11 +218,31 @@ def exact_links(pairs: DataFrame, docs: DataFrame, text: str, rows_of: RowsOf, p
     return both.select("a", "b", "ra", "rb").mapInArrow(linked, "a long, b long")
 
 
+#: Columns of a row to a bucket of its sketch, at most.
+PER_BUCKET = 4
+
+
+def sketch(row: np.ndarray) -> bytes | None:
+    """How many columns of a row each bucket holds, a byte each; as many buckets, a power of two, as keep them small whatever
+    the row's length. None if a bucket holds more than a byte can say."""
+    buckets = 1 << (-(-max(len(row), 1) // PER_BUCKET) - 1).bit_length()
+    counts = np.bincount((row & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return None if counts.max() > 255 else counts.astype(np.uint8).tobytes()
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> int:
+    """The most columns that two rows can share by their sketches: the smaller count of every bucket."""
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    if len(b) > len(a):  # buckets are low bits, so those of the longer row fall together
+        b = b.reshape(-1, len(a)).sum(axis=0, dtype=np.int64)
+    return int(np.minimum(a, b).sum(dtype=np.int64))
+
+
 def likely_links(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """The pairs whose overlap is not bounded below a link by what their rows hold in each bucket of columns.
 
     Two rows share at most the smaller of their counts in every bucket, so no pair that links is left out; most of the others go
-    before a whole row is fetched for them.
+    before a whole row is fetched for them, those of very long rows too, as these have more buckets.
     """
     pairs = store(pairs).df
     bits = shared(pairs.sparkSession, key_filter(store(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()).df, "node"))
@@ -232,15 +252,22 @@ def likely_links(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
             if batch.num_rows:
                 yield batch.filter(pa.array(may_hold(bits.value, batch.column(0).to_numpy())))
 
-    known = rows.select("node", "n", "sketch").mapInArrow(wanted, "node long, n long, sketch array<int>").dropDuplicates(["node"])
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            left, right = batch.column(4), batch.column(5)
+            hits = [
+                x is None or y is None or (100 + percent) * most_shared(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) >= percent * n
+                for x, y, n in zip(left.to_pylist(), right.to_pylist(), sizes.tolist(), strict=True)
+            ]
+            yield batch.select([0, 1]).filter(pa.array(hits, pa.bool_()))
+
+    known = rows.select("node", "n", "sketch").mapInArrow(wanted, "node long, n long, sketch binary").dropDuplicates(["node"])
     sides = [known.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in ("a", "b")]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
-    most = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    return both.where(reachable(percent, F.col("na"), F.col("nb"), most)).select("a", "b")
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(possible, "a long, b long")
 
 
-#: Buckets of columns that rows are bounded by.
-BUCKETS = 256
 #: Blocks of columns that overlap is accumulated over.
 BLOCKS = 4
 

@@ -113,3 +113,14 @@ def test_buckets_leave_out_no_link(spark, frame):
     kept = {(r["a"], r["b"]) for r in J.likely_links(spark.createDataFrame(pairs, "a long, b long"), rows, 75).collect()}
     links = {(a, b) for a, b in pairs if 100 * len(by_node[a] & by_node[b]) >= 75 * len(by_node[a] | by_node[b])}
     assert links and links <= kept and len(kept) < len(pairs) / 2
+
+
+def test_sketches_never_bound_an_overlap_too_low():
+    rng = np.random.default_rng(3)
+    for n, more, common in ((1, 1, 1), (5, 9, 0), (60, 70, 55), (300, 4000, 200), (1000, 1030, 0), (9000, 9000, 8000)):
+        drawn = np.unique(rng.integers(0, 1 << 63, n + more, dtype=np.uint64))
+        a, b = drawn[:n], np.concatenate([drawn[:common], drawn[n : n + more - common]])
+        bound = J.most_shared(*(np.frombuffer(J.sketch(x), np.uint8) for x in (a, b)))
+        assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
+        assert common or n < 1000 or bound < 0.8 * n
+    assert J.sketch(np.arange(2000, dtype=np.uint64) << np.uint64(32)) is None
