@@ -266,7 +266,7 @@ def _in_sequence():
 
 def pieces(docs: DataFrame, vocabulary: str, text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Token pieces of every text: its other columns with piece, start, length and ids_crc32."""
-    extra = [T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "ids_crc32")]
+    extra = [T.StructField("piece", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32")]]
     kept, schema = X.added(docs.schema, extra)
     kept = [c for c in kept if c != text]
     schema = T.StructType([f for f in schema.fields if f.name != text])
