@@ -20,6 +20,7 @@ empty table gives an empty result. Input columns called like an output column ar
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -55,12 +56,24 @@ ALPHABETS = {
 _OPEN, _CLOSE, _PLAIN = "\ue000", "\ue001", "\ue002"
 
 
+def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is worked out once: inside functions of arrays it would be worked out per element."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def match_spans(text: Column, pattern: str) -> Column:
-    """Array of (start, end, part) of the leftmost matches that do not overlap, in characters."""
-    marked = F.regexp_replace(text, f"({pattern})", f"{_OPEN}$1{_CLOSE}")
-    parts = F.split(marked, f"[{_OPEN}{_CLOSE}]", -1)
+    """Array of (start, end, part) of the leftmost matches that do not overlap, in characters.
+
+    An appended array is copied, so parts are gathered in blocks of about the cube root of their number: n matches cost
+    n ** (4/3) copies.
+    """
     none = F.expr("cast(array() as array<struct<start:int,end:int,part:string>>)")
-    begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), none.alias("found"))
+    no_starts = F.expr("cast(array() as array<int>)")
+
+    def blocks(parts: Column) -> Column:
+        size = 2 * F.ceil(F.cbrt(F.size(parts).cast("double"))).cast("int")  # even: every block begins outside a match
+        last = F.floor((F.size(parts) - 1) / size).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(parts, b * size + 1, size))
 
     def step(state: Column, part: Column) -> Column:
         to = state["at"] + F.length(part)
@@ -68,7 +81,21 @@ def match_spans(text: Column, pattern: str) -> Column:
         found = F.when(state["hit"], F.concat(state["found"], F.array(span))).otherwise(state["found"])
         return F.struct(to.alias("at"), (~state["hit"]).alias("hit"), found.alias("found"))
 
-    return F.when(F.contains(marked, F.lit(_OPEN)), F.aggregate(parts, begin, step, lambda state: state["found"])).otherwise(none)
+    def of_block(block: Column, at: Column) -> Column:
+        begin = F.struct(at.alias("at"), F.lit(False).alias("hit"), none.alias("found"))
+        return F.aggregate(block, begin, step, lambda state: state["found"])
+
+    def placed(blocks: Column) -> Column:
+        lengths = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, part: n + F.length(part)))
+        begin = F.struct(F.lit(0).alias("at"), no_starts.alias("starts"))
+        after = lambda state, n: F.struct((state["at"] + n).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+        return F.flatten(F.zip_with(blocks, F.aggregate(lengths, begin, after, lambda state: state["starts"]), of_block))
+
+    def spans(marked: Column) -> Column:
+        parts = F.split(marked, f"[{_OPEN}{_CLOSE}]", -1)
+        return F.when(F.contains(marked, F.lit(_OPEN)), _let(parts, lambda p: _let(blocks(p), placed))).otherwise(none)
+
+    return _let(F.regexp_replace(text, f"({pattern})", f"{_OPEN}$1{_CLOSE}"), spans)
 
 
 def normal_tail(z: Column) -> Column:

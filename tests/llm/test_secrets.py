@@ -45,6 +45,12 @@ def test_base_spans_are_those_of_python_s_patterns(frame):
         assert [rows[i][f"n_{k}"] for k in S.KINDS[:3]] == [sum(s[2] == k for s in want) for k in S.KINDS[:3]]
 
 
+def test_a_long_text_of_many_matches(frame):
+    texts = ["é token=" + " token=".join(f"{i:014x}-value AKIAABCDEFGH{i:08d}" for i in range(6000)), "x" * 2_000_000, "deadbeef01234567"]
+    rows = {r["doc_id"]: r for r in S.scan(frame(texts), {}).collect()}
+    assert [rows[i]["spans"] for i in range(3)] == [written(plain_spans(t)) for t in texts]
+
+
 def test_the_battery_adds_random_tokens_and_leaves_words(spark, frame):
     rng = random.Random(6)
     keys = [base64.b64encode(rng.randbytes(36)).decode() for _ in range(40)]
