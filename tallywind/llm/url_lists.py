@@ -5,9 +5,11 @@ off it (``remove``). Consecutive entries of a pattern become validity intervals,
 A pattern is a host, which holds for its subdomains too, or a host with a path, which holds for paths that begin so.
 A capture is judged by the entries that were active when it was fetched: the longest pattern decides.
 
-Intervals are cut at the edges of eras, so that a capture meets those of its own era only, gathered per host. Hosts that
-hold more than a fair share of the captures are answered from a broadcast: with P shuffle partitions at most 4 * P hosts
-can hold more than 1 / (4 * P) of the rows each, which bounds it; all others meet by a join on host and era.
+Entries stay rows. A capture asks for each domain that its host lies in with each beginning of its path that is as long as
+some path listed for that domain, so it meets a pattern by equality, and of the pattern's intervals only those of its own
+era. What is gathered is the lengths of a domain's listed paths, at most as many as the longest has characters, and the
+intervals of one pattern in one era. Hosts, patterns and captures that hold more than a fair share of the rows are dealt
+out by the join.
 
 Defined results: a null URL or fetch time, or one without a host, is judged by no entry (null verdict); entries with a
 null pattern or date are ignored; of entries of one pattern and moment ``remove`` yields to ``allow`` and that to
@@ -19,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywind.operators.joins import BROADCAST_BYTES, attach
 from tallywind.storage import store
 
 ERA = 64 * 86400
@@ -74,31 +77,35 @@ def _by_era(held: DataFrame, low: int, high: int) -> DataFrame:
     return inside.select(domain.alias("domain"), path.alias("path"), "pattern", "verdict", "start", "end", F.explode(eras).alias("era"))
 
 
-def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_at") -> DataFrame:
+def _decided(asked: DataFrame, active: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """(_url, _at, n, best) of the captures that an entry decides."""
+    share = {"broadcast_bytes": broadcast_bytes}
+    sizes = active.groupBy("domain").agg(F.collect_set(F.length("path")).alias("sizes"))
+    domains = asked.groupBy("_host").agg(F.count("*").alias("hosted")).select("_host", "hosted", F.explode(suffixes(F.col("_host"))).alias("domain"))
+    listed = attach(store(domains).df, sizes, ["domain"], spread_by=("_host",), **share).where("sizes is not null")
+    listed = listed.select("_host", "hosted", "domain", F.explode("sizes").alias("size"))
+    reach = listed.groupBy("_host").agg(F.max("hosted").alias("hosted"), F.collect_list(F.struct("domain", "size")).alias("reach"))
+    asking = attach(asked, reach, ["_host"], weight="hosted", spread_by=("_url", "_at"), **share)
+    asking = asking.select("_url", "_at", "n", "_path", F.col("_era").alias("era"), F.explode("reach").alias("r")).where(F.length("_path") >= F.col("r.size"))
+    asking = asking.select("_url", "_at", "n", "era", F.col("r.domain").alias("domain"), F.substr("_path", F.lit(1), F.col("r.size")).alias("path"))
+    held = active.groupBy("domain", "path", "era").agg(F.collect_list(F.struct("start", "end", "verdict", "pattern")).alias("held"))
+    met = attach(asking, held, ["domain", "path", "era"], spread_by=("_url", "_at"), **share)
+    now = F.filter("held", lambda e: (e["start"] <= F.col("_at")) & (F.col("_at") < e["end"]))
+    best = F.array_max(F.transform(now, lambda e: F.struct(F.length(e["pattern"]).alias("size"), e["verdict"].alias("verdict"), e["pattern"].alias("pattern"))))
+    return met.select("_url", "_at", "n", best.alias("best")).where("best is not null").groupBy("_url", "_at").agg(F.max("n").alias("n"), F.max("best").alias("best"))
+
+
+def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_at", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``captures`` with pattern and verdict of the entry that decides, and blocked. ``fetched`` is in epoch seconds."""
     kept = [c for c in captures.columns if c.lower() not in ("pattern", "verdict", "blocked")]
-    rows = captures.select(*kept, host_of(F.col(url)).alias("_host"), path_of(F.lower(url)).alias("_path"), F.floor(F.col(fetched) / ERA).alias("_era"))
-    low, high = rows.agg(F.min(fetched), F.max(fetched)).first()
-    partitions = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hosts = store(rows.where("_host is not null and _era is not null").groupBy("_host", "_era").agg(F.count("*").alias("n"))).df
+    low, high = captures.agg(F.min(fetched), F.max(fetched)).first()
     if low is None:
         nothing = F.lit(None).cast("string")
         return captures.select(*kept, nothing.alias("pattern"), nothing.alias("verdict"), F.lit(False).alias("blocked"))
-    active = _by_era(intervals(entries), int(low), int(high))
-    domains = hosts.select("_host", "_era", F.explode(suffixes(F.col("_host"))).alias("domain"))
-    entry = F.struct("path", "pattern", "verdict", "start", "end")
-    lists = domains.join(active, (domains["domain"] == active["domain"]) & (domains["_era"] == active["era"])).groupBy("_host", "_era").agg(F.collect_set(entry).alias("list"))
-    lists = store(lists.select(F.col("_host").alias("host"), F.col("_era").alias("era"), "list")).df
-    total = hosts.agg(F.sum("n")).first()[0] or 0
-    hot = hosts.where(F.col("n") * 4 * partitions > total).select(F.col("_host").alias("host"), F.col("_era").alias("era"))
-    hot = store(hot.join(lists, ["host", "era"], "left")).df  # fewer than 4 * partitions rows
-    same = (F.col("_host") == F.col("host")) & (F.col("_era") == F.col("era"))
-    often = rows.join(F.broadcast(hot), same).drop("host", "era")
-    seldom = rows.where("_host is not null and _era is not null").join(F.broadcast(hot.select("host", "era")), same, "left_anti")
-    seldom = seldom.join(lists, same, "left").drop("host", "era")
-    none = rows.where("_host is null or _era is null").withColumn("list", F.lit(None).cast(lists.schema["list"].dataType))
-    met = often.unionByName(seldom).unionByName(none)
-    now = F.filter("list", lambda e: (e["start"] <= F.col(fetched)) & (F.col(fetched) < e["end"]) & F.startswith(F.col("_path"), e["path"]))
-    best = F.array_max(F.transform(now, lambda e: F.struct(F.length(e["pattern"]).alias("size"), e["verdict"].alias("verdict"), e["pattern"].alias("pattern"))))
-    judged = met.withColumn("_best", best)
-    return judged.select(*kept, F.col("_best.pattern").alias("pattern"), F.col("_best.verdict").alias("verdict"), F.coalesce(F.col("_best.verdict") == "block", F.lit(False)).alias("blocked"))
+    rows = captures.select(*kept, F.col(url).alias("_url"), F.col(fetched).alias("_at"), F.monotonically_increasing_id().alias("_spread"))
+    asked = rows.groupBy("_url", "_at").agg(F.count("*").alias("n"))
+    asked = asked.select("*", host_of(F.col("_url")).alias("_host"), path_of(F.lower("_url")).alias("_path"), F.floor(F.col("_at") / ERA).alias("_era"))
+    asked = store(asked.where("_host is not null and _era is not null")).df
+    active = store(_by_era(intervals(entries), int(low), int(high))).df
+    judged = attach(rows, _decided(asked, active, broadcast_bytes), ["_url", "_at"], weight="n", spread_by=("_spread",), broadcast_bytes=broadcast_bytes)
+    return judged.select(*kept, F.col("best.pattern").alias("pattern"), F.col("best.verdict").alias("verdict"), F.coalesce(F.col("best.verdict") == "block", F.lit(False)).alias("blocked"))

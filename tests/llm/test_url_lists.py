@@ -42,11 +42,11 @@ def made(seed):
 
 
 def test_as_of_every_fetch(spark):
-    for seed in (1, 2):
+    for seed, most in ((1, U.BROADCAST_BYTES), (2, U.BROADCAST_BYTES), (3, 0)):
         captures, entries = made(seed)
         rows = spark.createDataFrame([(i, *c, "old") for i, c in enumerate(captures)], "id int, url string, fetched_at long, verdict string").repartition(4)
         log = spark.createDataFrame(entries, "pattern string, verdict string, at long").repartition(4)
-        got = {r["id"]: r for r in U.judge(rows, log).collect()}
+        got = {r["id"]: r for r in U.judge(rows, log, broadcast_bytes=most).collect()}
         want = plain(captures, entries)
         assert len(got) == len(captures)
         for i, best in enumerate(want):
