@@ -1,4 +1,4 @@
-"""Rows that are passed over many times lie in even parts of bounded size."""
+"""Rows that are passed over many times lie in even parts of bounded size; rounds that every fit has are one fit."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywind import storage
-from tallywind.operators import models
+from tallywind.operators import boosting, models
 from tallywind.plans import ensembles
 
 FEATURES = ["a", "b"]
@@ -46,3 +46,19 @@ def test_the_regression_on_leaves_reads_bounded_parts(parts, monkeypatch):
     scored = ensembles.leaf_lr_scores(train, valid, FEATURES, PARAMS, max_iter=5)
     assert scored.count() == valid.count() and sum(seen) == train.count()
     assert max(seen) * models.row_width(PARAMS.trees + len(FEATURES)) < 2 * (1 << 13)
+
+
+def test_first_rounds_are_one_fit(parts, monkeypatch):
+    train, valid = parts
+    rows, held = (models.training_rows(df, FEATURES) for df in parts)
+    one_by_one = boosting.boost(rows, held, PARAMS, 6)
+    grown, real = [], boosting.RandomForestRegressor
+    monkeypatch.setattr(boosting, "RandomForestRegressor", lambda **kw: grown.append(kw["seed"]) or real(**kw))
+    _, best, losses = models.fit_gbt_early_stop(train, valid, FEATURES, params=PARAMS)
+    assert grown == [] and losses == pytest.approx(one_by_one.losses, abs=1e-9) and best == one_by_one.best
+    # Five rounds at least with a patience of four, in one fit; the others follow one by one.
+    _, best, losses = models.fit_gbt_early_stop(train, valid, FEATURES, params=PARAMS, patience=4, most=8)
+    assert len(grown) <= 8 - 5 and losses[:6] == pytest.approx(one_by_one.losses[: len(losses)], abs=1e-9)
+    # Sampled rows are drawn by their numbers, one tree at a time, as before.
+    models.fit_gbt_early_stop(train, valid, FEATURES, params=models.GBTParams(trees=2, depth=2, subsample=0.8))
+    assert grown[-2:] == [2018, 2019]
