@@ -119,3 +119,22 @@ def test_grid_from_prefixes(parts):
             right.append(models.predict(scorer, folded.where(f"f = {f}")).agg(F.avg((F.col("prediction") == F.col("is_trade")).cast("double"))).first()[0])
         assert mean == pytest.approx(sum(right) / 3, abs=0.02)
     assert best.model.getNumTrees == max(means, key=lambda m: (m[1], -m[0]))[0]
+
+
+def test_first_rounds_are_one_fit_with_samples_too(parts, monkeypatch):
+    train, valid = parts
+    given = []
+    monkeypatch.setattr(models, "boost", lambda *a: given.append(a[-1]) or boosting.boost(*a))
+    sampled = models.GBTParams(depth=3, subsample=0.9, colsample=0.8)
+    _, best, losses = models.fit_gbt_early_stop(train, valid, FEATURES, params=sampled, patience=6, most=7)
+    assert len(given[0].trees) == 7 and len(losses) == 7 and losses[best - 1] == min(losses)
+    assert given[0].losses == pytest.approx(losses)
+
+
+def test_trees_that_end_it_read_no_rows(parts, monkeypatch):
+    rows, held = (models.training_rows(df, FEATURES) for df in parts)
+    grown = boosting.boost(rows, held, PARAMS, 4)
+    ended = boosting.Boosted(grown.trees, grown.weights, (0.1, 0.2, 0.3, 0.4))
+    monkeypatch.setattr(boosting, "store", lambda df: pytest.fail("margins were written"))
+    assert boosting.boost(rows, held, PARAMS, 9, patience=2, start=ended).losses == (0.1, 0.2, 0.3)
+    assert len(boosting.boost(rows, held, PARAMS, 4, start=grown).trees) == 4
