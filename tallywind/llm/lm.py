@@ -161,6 +161,17 @@ _RARE = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructFiel
 _ARROW_RARE = pa.list_(pa.struct([("h", pa.int64()), ("times", pa.int64())]))
 
 
+def rare_tokens(h: np.ndarray, hot: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct tokens of every row that are not hot, how often each occurs in it, and bounds per row."""
+    at = np.flatnonzero(~hot)
+    row, odd = np.searchsorted(bounds, at, side="right") - 1, h[at].view(np.int64)
+    order = np.lexsort((odd, row))
+    row, odd = row[order], odd[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), dtype=bool), (row[1:] != row[:-1]) | (odd[1:] != odd[:-1])]))
+    times = np.diff(np.append(first, len(at)))
+    return odd[first], times, np.searchsorted(row[first], np.arange(len(bounds)))
+
+
 def _scored(rows: DataFrame, text: str, keys: list[str], vocab, network) -> DataFrame:
     """Per row: its keys, n_tokens, the sums over hot tokens, the network's sum, and its rare tokens."""
     fields = [("n_tokens", T.LongType()), ("known", T.LongType()), ("base", T.DoubleType()), ("net", T.DoubleType()), ("inside", T.DoubleType()), ("rare", _RARE)]
@@ -181,11 +192,11 @@ def _scored(rows: DataFrame, text: str, keys: list[str], vocab, network) -> Data
                     base = X.row_sums(np.where(hot, v.base(c), 0.0), bounds)
                     inside = X.row_sums(np.where(hot & (words == v.words), v.among_others(c), 0.0), bounds)
                     known = X.row_sums(hot.astype(np.int64), bounds)
+                    odd, times, cuts = rare_tokens(h, hot, bounds)
                     kept = batch.slice(piece.first, piece.rows).select(keys).to_pylist()
                     for r, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                        odd, times = np.unique(h[a:b][~hot[a:b]].view(np.int64), return_counts=True)
                         made = {"n_tokens": b - a, "known": known[r], "base": base[r], "inside": inside[r]}
-                        made["rare"] = [{"h": x, "times": n} for x, n in zip(odd.tolist(), times.tolist(), strict=True)]
+                        made["rare"] = odd[cuts[r] : cuts[r + 1]], times[cuts[r] : cuts[r + 1]]
                         waiting[number] = (kept[r], made)
                         yield number, words[a:b]
                         number += 1
@@ -194,7 +205,11 @@ def _scored(rows: DataFrame, text: str, keys: list[str], vocab, network) -> Data
 
         def flush() -> pa.RecordBatch:
             full = pa.schema(list(key_schema) + list(arrow))
-            return pa.RecordBatch.from_pylist(ready, schema=full)
+            columns = [pa.array([row[f.name] for row in ready], f.type) for f in full if f.name != "rare"]
+            bounds = np.concatenate([[0], np.cumsum([len(row["rare"][0]) for row in ready])]).astype(np.int32)
+            pairs = [pa.array(np.concatenate([row["rare"][i] for row in ready])) for i in (0, 1)]
+            rare = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(pairs, ["h", "times"]))
+            return pa.RecordBatch.from_arrays([*columns, rare.cast(_ARROW_RARE)], schema=full)
 
         from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -43,32 +43,38 @@ class Net:
         return self
 
     def forward(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool = False):
-        """States (steps, lanes, hidden) from ``inputs`` (steps, lanes); lanes restart where ``fresh``. Also what backward needs."""
+        """States (steps, lanes, hidden) from ``inputs`` (steps, lanes); lanes restart where ``fresh``. Also what backward needs.
+
+        Inside, lanes run along the last axis, so that each gate of a step is one run of memory.
+        """
         steps, lanes = inputs.shape
         n = self.hidden
-        gates_in = self.params["x"][inputs]
-        u = self.params["u"]
-        states = np.empty((steps, lanes, n), FLOAT)
-        kept = (np.empty((steps, lanes, 3 * n), FLOAT), np.empty((steps, lanes, n), FLOAT), np.empty((steps, lanes, n), FLOAT)) if keep else None
+        gates = np.ascontiguousarray(self.params["x"][inputs].transpose(0, 2, 1))
+        u_t = np.ascontiguousarray(self.params["u"].T)
+        h = np.ascontiguousarray(h.T)
+        restart = fresh.any(axis=1)
+        states = np.empty((steps, n, lanes), FLOAT)
+        before, inner = (np.empty((steps, n, lanes), FLOAT), np.empty((steps, n, lanes), FLOAT)) if keep else (None, None)
         for t in range(steps):
-            if fresh[t].any():
-                h = np.where(fresh[t][:, None], FLOAT(0), h)
-            a = h @ u
-            g = gates_in[t, :, : 2 * n] + a[:, : 2 * n]
+            if restart[t]:
+                h = np.where(fresh[t], FLOAT(0), h)
+            a = u_t @ h
+            g, c = gates[t, : 2 * n], gates[t, 2 * n :]
+            g += a[: 2 * n]
             g *= FLOAT(0.5)
             np.tanh(g, out=g)
             g += FLOAT(1)
             g *= FLOAT(0.5)
-            z, r = g[:, :n], g[:, n:]
-            c = a[:, 2 * n :] * r
-            c += gates_in[t, :, 2 * n :]
-            np.tanh(c, out=c)
             if keep:
-                kept[0][t, :, : 2 * n], kept[0][t, :, 2 * n :] = g, c
-                kept[1][t], kept[2][t] = h, a[:, 2 * n :]
-            h = c + z * (h - c)
-            states[t] = h
-        return states, h, kept
+                before[t], inner[t] = h, a[2 * n :]
+            a[2 * n :] *= g[n:]
+            c += a[2 * n :]
+            np.tanh(c, out=c)
+            np.subtract(h, c, out=states[t])
+            h = states[t]
+            h *= g[:n]
+            h += c
+        return states.transpose(0, 2, 1), h.T, (gates, before, inner) if keep else None
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
         """Natural log-probabilities of ``targets`` at ``states`` (rows), and the loss gradient at the states."""
@@ -121,26 +127,38 @@ class Net:
         logs, at_states = self.log_probs(states.reshape(-1, n)[at], targets.ravel()[at], grads)
         down = np.zeros((steps * lanes, n), FLOAT)
         down[at] = at_states
-        down = down.reshape(steps, lanes, n)
-        u_t = self.params["u"].T.copy()
-        at_gates = np.empty((steps, lanes, 3 * n), FLOAT)
-        at_a = np.empty((steps, lanes, 3 * n), FLOAT)
-        carried = np.zeros((lanes, n), FLOAT)
+        # Lanes last, as in ``forward``.
+        down = np.ascontiguousarray(down.reshape(steps, lanes, n).transpose(0, 2, 1))
+        z, r, c = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
+        shut, to_c, kept, open_ = before - c, 1 - c * c, 1 - z, 1 - r
+        u = self.params["u"]
+        restart = fresh.any(axis=1)
+        at_gates = np.empty((steps, 3 * n, lanes), FLOAT)
+        at_a = np.empty((steps, 3 * n, lanes), FLOAT)
+        carried = np.zeros((n, lanes), FLOAT)
         for t in range(steps - 1, -1, -1):
-            z, r, c = gates[t, :, :n], gates[t, :, n : 2 * n], gates[t, :, 2 * n :]
-            d = down[t] + carried
-            dc = d * (1 - z) * (1 - c * c)
-            at_gates[t, :, :n] = d * (before[t] - c) * z * (1 - z)
-            at_gates[t, :, n : 2 * n] = dc * inner[t] * r * (1 - r)
-            at_gates[t, :, 2 * n :] = dc
-            at_a[t] = at_gates[t]
-            at_a[t, :, 2 * n :] *= r
-            carried = d * z + at_a[t] @ u_t
-            if fresh[t].any():
-                carried[fresh[t]] = 0
-        grads["u"] = before.reshape(-1, n).T @ at_a.reshape(-1, 3 * n)
-        flat, words = at_gates.reshape(-1, 3 * n), inputs.ravel()
-        order = np.argsort(words, kind="stable")
+            d = down[t]
+            d += carried
+            to_z, to_r, dc = at_gates[t, :n], at_gates[t, n : 2 * n], at_gates[t, 2 * n :]
+            np.multiply(d, kept[t], out=dc)
+            dc *= to_c[t]
+            np.multiply(d, shut[t], out=to_z)
+            to_z *= z[t]
+            to_z *= kept[t]
+            np.multiply(dc, inner[t], out=to_r)
+            to_r *= r[t]
+            to_r *= open_[t]
+            at_a[t, : 2 * n] = at_gates[t, : 2 * n]
+            np.multiply(dc, r[t], out=at_a[t, 2 * n :])
+            carried = u @ at_a[t]
+            d *= z[t]
+            carried += d
+            if restart[t]:
+                carried[:, fresh[t]] = 0
+        rows = lambda x: x.transpose(0, 2, 1).reshape(steps * lanes, -1)
+        grads["u"] = rows(before).T @ rows(at_a)
+        flat, words = rows(at_gates), inputs.ravel()
+        order = np.argsort(words.astype(np.uint16 if self.opening < 1 << 16 else np.int64), kind="stable")
         first = np.flatnonzero(np.diff(words[order], prepend=-1))
         grads["x"] = np.zeros_like(self.params["x"])
         grads["x"][words[order][first]] = np.add.reduceat(flat[order], first, axis=0)
@@ -156,7 +174,8 @@ class Adam:
     def step(self, grads: dict[str, np.ndarray], tokens: int) -> None:
         self.turn += 1
         scale = FLOAT(1 / max(tokens, 1))
-        norm = np.sqrt(sum(float((g * scale).ravel() @ (g * scale).ravel()) for g in grads.values()))
+        scaled = (g.ravel() * scale for g in grads.values())
+        norm = np.sqrt(sum(float(g @ g) for g in scaled))
         scale *= FLOAT(min(1.0, 1.0 / max(norm, 1e-12)))
         rate = self.rate * np.sqrt(1 - 0.999**self.turn) / (1 - 0.9**self.turn)
         for k, g in grads.items():

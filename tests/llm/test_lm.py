@@ -121,3 +121,24 @@ def test_odd_texts(spark, hostile, nothing):
     assert {(r["n_known"], r["train_tokens"]) for r in untrained} == {(0, 0)}
     assert lm.score_texts(nothing, hostile, ["doc_id"]).count() == 0
     assert shared(spark, 1).value == 1
+
+
+def test_rare_tokens_of_a_slice_at_once():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 40):
+        h, hot = rng.integers(0, 1 << 64, 9, dtype=np.uint64)[rng.integers(0, 9, n)], rng.random(n) < 0.4
+        bounds = np.concatenate([[0], np.sort(rng.integers(0, n + 1, 5)), [n]])
+        odd, times, cuts = lm.rare_tokens(h, hot, bounds)
+        for r, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            expected = np.unique(h[a:b][~hot[a:b]].view(np.int64), return_counts=True)
+            assert (odd[cuts[r] : cuts[r + 1]].tolist(), times[cuts[r] : cuts[r + 1]].tolist()) == tuple(e.tolist() for e in expected)
+
+
+def test_lanes_last_give_the_states_of_lanes_first():
+    net = rnn.Net(5, 3, 4, 1)
+    rng = np.random.default_rng(2)
+    inputs, fresh, h = rng.integers(0, 14, (6, 3)), rng.random((6, 3)) < 0.2, rng.standard_normal((3, 5)).astype(np.float32)
+    states, last, _ = net.forward(inputs, fresh, h)
+    for lane in range(3):
+        alone = net.forward(inputs[:, [lane]], fresh[:, [lane]], h[[lane]])
+        assert np.allclose(states[:, lane], alone[0][:, 0], atol=1e-6) and np.allclose(last[lane], alone[1][0], atol=1e-6)
