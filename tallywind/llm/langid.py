@@ -15,17 +15,19 @@ by one. Input columns called like an output column are replaced.
 
 from __future__ import annotations
 
-import uuid
+import weakref
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywind.llm import text as X
+from tallywind.llm.components import shared
 
 ORDER = 4
 UNKNOWN = "und"
@@ -188,25 +190,15 @@ class Coder:
         return out
 
 
-_coders: dict[str, Coder] = {}
+#: Coders end with their models, so that a worker does not keep trees and table while it serves later stages.
+_coders: weakref.WeakKeyDictionary[Broadcast, Coder] = weakref.WeakKeyDictionary()
 
 
-def _coder(model) -> Coder:
+def _coder(model: Broadcast) -> Coder:
     """One coder per broadcast model and Python worker."""
-    if model.id not in _coders:
-        _coders.clear()
-        _coders[model.id] = Coder(model.value)
-    return _coders[model.id]
-
-
-class _Shared:
-    def __init__(self, spark, model: Model):
-        self.broadcast = spark.sparkContext.broadcast(model)
-        self.id = uuid.uuid4().hex
-
-    @property
-    def value(self) -> Model:
-        return self.broadcast.value
+    if model not in _coders:
+        _coders[model] = Coder(model.value)
+    return _coders[model]
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -215,10 +207,10 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     kept, schema = X.added(df.schema, extra)
     if not model.languages:
         return df.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte"))
-    shared = _Shared(df.sparkSession, model)
+    broadcast = shared(df.sparkSession, model)
 
     def predict(batch: pa.RecordBatch) -> Iterator[dict]:
-        coder = _coder(shared)
+        coder = _coder(broadcast)
         names = np.array(coder.model.languages, dtype=object)
         best, score, rate = [], [], []
         for piece in X.slices(batch.column(text)):

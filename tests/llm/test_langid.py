@@ -89,3 +89,14 @@ def test_odd_texts(spark, hostile, nothing):
     assert langid.identify(nothing, model).count() == 0
     blank = langid.fit(nothing)
     assert {r["lang_pred"] for r in langid.identify(hostile, blank).collect()} == {langid.UNKNOWN}
+
+
+def test_workers_keep_no_coder_for_later_stages(spark, hostile):
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(langid._coders)], pa.int64())], names=["n"])
+
+    langid.identify(hostile, langid.fit(hostile)).count()
+    langid.identify(hostile, langid.fit(hostile)).select("lang_pred").collect()
+    later = spark.range(64).repartition(8).mapInArrow(held, "n long").collect()
+    assert later and all(r["n"] == 0 for r in later)
