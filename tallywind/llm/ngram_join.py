@@ -61,6 +61,18 @@ def identities_of(sets: list[np.ndarray]) -> np.ndarray:
     return identities(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
 
 
+def met_again(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The values that ``held`` has twice or more, sorted, and how often. ``held`` is emptied and sorted in place, as chunks are large."""
+    flat = np.concatenate(held)
+    held.clear()
+    flat.sort()
+    same = np.zeros(len(flat) + 1, dtype=np.int8)
+    same[1:-1] = flat[1:] == flat[:-1]
+    edge = np.diff(same)
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return flat[first], last - first + 1
+
+
 def frequent_columns(docs: DataFrame, text: str, size: int = SIZE, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted, and in how many texts they were counted.
 
@@ -74,9 +86,8 @@ def frequent_columns(docs: DataFrame, text: str, size: int = SIZE, most: int = F
         held, n = [], 0
 
         def flush():
-            s, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= 2
-            return pa.RecordBatch.from_arrays([pa.array(s[often].view(np.int64)), pa.array(times[often])], schema=target)
+            s, times = met_again(held)
+            return pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(times)], schema=target)
 
         for batch in batches:
             for piece in X.slices(batch.column(0)):

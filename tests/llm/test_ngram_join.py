@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -124,3 +125,18 @@ def test_sketches_never_bound_an_overlap_too_low():
         assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
         assert common or n < 1000 or bound < 0.8 * n
     assert J.sketch(np.arange(2000, dtype=np.uint64) << np.uint64(32)) is None
+
+
+def test_counting_a_chunk_takes_little_beside_it():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 500):
+        parts = [rng.integers(0, 90, n).astype(np.uint64), np.zeros(0, np.uint64), rng.integers(0, 90, n).astype(np.uint64)]
+        s, times = np.unique(np.concatenate(parts), return_counts=True)
+        got = J.met_again(parts)
+        assert got[0].tolist() == s[times > 1].tolist() and got[1].tolist() == times[times > 1].tolist()
+    held = [rng.integers(0, 1 << 63, 1 << 18, dtype=np.uint64)]
+    tracemalloc.start()
+    J.met_again(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * 8 * (1 << 18)
