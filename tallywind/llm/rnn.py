@@ -45,12 +45,12 @@ class Net:
     def forward(self, inputs: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool = False):
         """States (steps, lanes, hidden) from ``inputs`` (steps, lanes); lanes restart where ``fresh``. Also what backward needs.
 
-        Inside, lanes run along the last axis, so that each gate of a step is one run of memory.
+        Inside, lanes run along the last axis, so that each gate of a step is one run of memory; products have lanes first.
         """
         steps, lanes = inputs.shape
         n = self.hidden
         gates = np.ascontiguousarray(self.params["x"][inputs].transpose(0, 2, 1))
-        u_t = np.ascontiguousarray(self.params["u"].T)
+        u = self.params["u"]
         h = np.ascontiguousarray(h.T)
         restart = fresh.any(axis=1)
         states = np.empty((steps, n, lanes), FLOAT)
@@ -58,7 +58,7 @@ class Net:
         for t in range(steps):
             if restart[t]:
                 h = np.where(fresh[t], FLOAT(0), h)
-            a = u_t @ h
+            a = np.ascontiguousarray((np.ascontiguousarray(h.T) @ u).T)
             g, c = gates[t, : 2 * n], gates[t, 2 * n :]
             g += a[: 2 * n]
             g *= FLOAT(0.5)
@@ -131,7 +131,7 @@ class Net:
         down = np.ascontiguousarray(down.reshape(steps, lanes, n).transpose(0, 2, 1))
         z, r, c = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
         shut, to_c, kept, open_ = before - c, 1 - c * c, 1 - z, 1 - r
-        u = self.params["u"]
+        u_t = self.params["u"].T.copy()
         restart = fresh.any(axis=1)
         at_gates = np.empty((steps, 3 * n, lanes), FLOAT)
         at_a = np.empty((steps, 3 * n, lanes), FLOAT)
@@ -150,9 +150,8 @@ class Net:
             to_r *= open_[t]
             at_a[t, : 2 * n] = at_gates[t, : 2 * n]
             np.multiply(dc, r[t], out=at_a[t, 2 * n :])
-            carried = u @ at_a[t]
             d *= z[t]
-            carried += d
+            carried = (np.ascontiguousarray(at_a[t].T) @ u_t).T + d
             if restart[t]:
                 carried[:, fresh[t]] = 0
         rows = lambda x: x.transpose(0, 2, 1).reshape(steps * lanes, -1)
