@@ -37,6 +37,20 @@ def test_uneven_files_are_dealt_evenly(spark):
     assert storage.dealt(small := storage.store(spark.range(9)), 1 << 30) is small.df
 
 
+def test_jobs_side_by_side_share_the_cores(spark):
+    stored = storage.store(spark.range(200_000))
+    stored.rows  # noqa: B018
+    parts = lambda _: storage.dealt(stored, 100).rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    alone = parts(0)
+    assert alone == min(2 * cores, 10) and storage.side_by_side(parts, range(4)) == [min(10, -(-2 * cores // 4))] * 4
+    assert storage.side_by_side(lambda _: storage.side_by_side(parts, range(2)), range(4)) == [[min(10, -(-2 * cores // 8))] * 2] * 4
+    # The bytes of a part are bounded all the same, and later jobs have all cores again.
+    wide = storage.side_by_side(lambda _: storage.dealt(stored, 1 << 13).count(), range(2))
+    assert wide == [200_000] * 2 and storage.side_by_side(lambda _: storage.dealt(stored, 1 << 13).rdd.getNumPartitions(), range(8)) == [13] * 8
+    assert parts(0) == alone
+
+
 def test_the_regression_on_leaves_reads_bounded_parts(parts, monkeypatch):
     monkeypatch.setattr(storage, "SMALL_ROWS", 0)
     monkeypatch.setattr(storage, "PART_BYTES", 1 << 13)
