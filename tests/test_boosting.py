@@ -131,6 +131,18 @@ def test_first_rounds_are_one_fit_with_samples_too(parts, monkeypatch):
     assert given[0].losses == pytest.approx(losses)
 
 
+def test_rounds_ahead_are_in_the_first_fit(parts, monkeypatch):
+    train, valid = parts
+    rows, held = (models.training_rows(df, FEATURES) for df in parts)
+    slow = models.GBTParams(depth=4, learning_rate=0.6)
+    one_by_one = boosting.boost(rows, held, slow, 40, patience=8)
+    assert one_by_one.best > 1  # else it ends with the rounds that every fit has
+    given = []
+    monkeypatch.setattr(models, "boost", lambda *a: given.append(a[-1]) or boosting.boost(*a))
+    _, best, losses = models.fit_gbt_early_stop(train, valid, FEATURES, params=slow, patience=8, most=40)
+    assert len(given[0].trees) == 11 and best == one_by_one.best and losses == pytest.approx(one_by_one.losses, abs=1e-9)
+
+
 def test_trees_that_end_it_read_no_rows(parts, monkeypatch):
     rows, held = (models.training_rows(df, FEATURES) for df in parts)
     grown = boosting.boost(rows, held, PARAMS, 4)
