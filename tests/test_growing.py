@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywind.operators import growing, models, trees
+from tallywind.plans import ensembles
 from tallywind.storage import store
 
 FEATURES = ["a", "b", "c", "same"]
@@ -88,6 +89,14 @@ def test_jobs_do_not_grow_with_the_trees(spark, parts):
     assert few == many
 
 
+def test_bases_of_the_stack_grow_on_blocks(spark, parts, monkeypatch):
+    monkeypatch.setattr(models, "gbt", lambda *_, **__: pytest.fail("a job for every level"))
+    train, valid = parts
+    bases = {n: ensembles.default_bases(replace(PARAMS, trees=3))[n] for n in ("shallow", "deep")}
+    _, blended = models.blend(train.where("is_trade is not null"), valid, bases, FEATURES, k=2)
+    assert blended.select("shallow", "deep").na.drop().count() == valid.count()
+
+
 def test_the_grid_grows_on_blocks(parts, monkeypatch):
     monkeypatch.setattr(models, "gbt", lambda *_, **__: pytest.fail("a job for every level"))
     best, means = models.grid_by_trees(parts[0], FEATURES, (2, 5), PARAMS, k=3)
