@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallywind.operators import growing, models, trees
+from tallywind.operators import boosting, growing, models, trees
 from tallywind.plans import ensembles
 from tallywind.storage import store
 
@@ -103,6 +103,15 @@ def test_the_grid_grows_on_blocks(parts, monkeypatch):
     assert [n for n, _ in means] == [2, 5] and best.model.getNumTrees == max(means, key=lambda m: (m[1], -m[0]))[0]
 
 
+def test_rounds_after_the_first_grow_on_blocks(parts, monkeypatch):
+    monkeypatch.setattr(boosting, "RandomForestRegressor", lambda **_: pytest.fail("one by one"))
+    monkeypatch.setattr(models, "gbt", lambda *_, **__: pytest.fail("a job for every level"))
+    train, valid = parts
+    slow = replace(SAMPLED, learning_rate=0.05)
+    _, best, losses = models.fit_gbt_early_stop(train, valid, FEATURES, params=slow, patience=4, most=60, refit_on=train)
+    assert len(losses) > 6 and (len(losses) == best + 4 or len(losses) == 60) and losses[best - 1] == min(losses)
+
+
 def test_no_rows_are_an_error(parts):
     train, valid = parts
     with pytest.raises(ValueError, match="no labelled row"):
