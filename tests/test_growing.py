@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywind.operators import boosting, growing, models, trees
-from tallywind.plans import ensembles
+from tallywind.plans import cross_features, ensembles
+from tallywind.schema import DayPlan
 from tallywind.storage import store
 
 FEATURES = ["a", "b", "c", "same"]
@@ -112,6 +113,17 @@ def test_rounds_after_the_first_grow_on_blocks(parts, monkeypatch):
     assert len(losses) > 6 and (len(losses) == best + 4 or len(losses) == 60) and losses[best - 1] == min(losses)
 
 
+def test_cross_features_are_worked_out_once(spark, parts, monkeypatch):
+    train, valid = parts
+    features = train.unionByName(valid).unionByName(train.limit(30).withColumns({"is_trade": F.lit(None).cast("int"), "instance_id": F.col("instance_id") + 5000}))
+    written = []
+    monkeypatch.setattr(cross_features, "store", lambda df: written.append(df) or store(df))
+    plan = DayPlan(first=1, train=(4, 5), valid=6, test=7)
+    ids = features.where("is_trade is null").select("instance_id")
+    scored = cross_features.score_cross_features(features, ids, plan, replace(SAMPLED, trees=3), patience=2)
+    assert written == [features] and scored.count() == ids.count()
+
+
 def test_no_rows_are_an_error(parts):
     train, valid = parts
     with pytest.raises(ValueError, match="no labelled row"):
